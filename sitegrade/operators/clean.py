@@ -13,18 +13,18 @@ from sitegrade.operators.dedup import latest_per_key
 ORDER_KEY_COLUMNS = ("camis", "bin", "violation_code", "inspection_date")
 
 # Payload columns of the two dedupes, used to break ties between equal dates.
-_RESTAURANT_TIE_BREAK = (
+RESTAURANT_TIE_BREAK = (
     "score", "violation_description", "violation_code", "critical_flag", "action", "grade",
     "grade_date", "camis", "dba", "boro", "building", "street", "zipcode", "phone", "bin", "bbl",
     "nta", "cuisine_description", "latitude", "longitude",
 )
-_RAT_TIE_BREAK = (
+RAT_TIE_BREAK = (
     "job_id", "inspection_type", "result", "job_progress", "bbl", "boro_code", "block", "lot",
     "house_number", "street_name", "zip_code", "latitude", "longitude", "borough", "bin", "nta",
 )
 
 
-def type_restaurant_rows(raw: DataFrame, as_of: AsOf = None, strict: bool = True) -> DataFrame:
+def type_restaurant_rows(raw: DataFrame, strict: bool = True) -> DataFrame:
     """Cast and normalise every violation row and give it its surrogate key.
 
     The key hashes the raw text, before the violation code is upper-cased.
@@ -33,7 +33,6 @@ def type_restaurant_rows(raw: DataFrame, as_of: AsOf = None, strict: bool = True
         hash_key(*ORDER_KEY_COLUMNS).alias("inspection_order_id"),
         to_int("camis", strict).alias("camis"),
         "dba",
-        F.lower("dba").alias("dba_lower"),
         F.upper("boro").alias("boro"),
         "building",
         "street",
@@ -54,35 +53,47 @@ def type_restaurant_rows(raw: DataFrame, as_of: AsOf = None, strict: bool = True
         to_timestamp("grade_date", strict).alias("grade_date"),
         to_coordinate("latitude", strict).alias("latitude"),
         to_coordinate("longitude", strict).alias("longitude"),
-        as_of_date(as_of).alias("extract_date"),
     )
 
 
 def latest_restaurant_rows(typed: DataFrame) -> DataFrame:
-    """One dated row per surrogate key, with its ``row_num`` of 1."""
+    """One dated row per surrogate key, with its ``row_num`` of 1.
+
+    The order takes in every column, so the survivor is the same on every run,
+    and two uses of the result shuffle the same columns and share one exchange.
+    """
     return latest_per_key(
         typed.where(F.col("inspection_date").isNotNull()),
         keys=["inspection_order_id"],
         newest_first=["inspection_date", "record_date"],
-        tie_break=_RESTAURANT_TIE_BREAK,
+        tie_break=RESTAURANT_TIE_BREAK,
         rank_column="row_num",
     )
 
 
 def clean_restaurant(raw: DataFrame, as_of: AsOf = None, strict: bool = True) -> DataFrame:
-    return latest_restaurant_rows(type_restaurant_rows(raw, as_of, strict))
+    """Deduplicated typed rows; columns that follow from others are added after the shuffle."""
+    latest = latest_restaurant_rows(type_restaurant_rows(raw, strict))
+    return latest.select(
+        "inspection_order_id", "camis", "dba", F.lower("dba").alias("dba_lower"), "boro", "building",
+        "street", "zipcode", "phone", "inspection_date", "critical_flag", "record_date", "bin", "bbl",
+        "nta", "cuisine_description", "action", "violation_code", "violation_description", "score",
+        "grade", "grade_date", "latitude", "longitude",
+        as_of_date(as_of).alias("extract_date"),
+        "row_num",
+    )
 
 
 def latest_work_orders(raw: DataFrame, strict: bool = True) -> DataFrame:
     """The newest row of each work order; only its dates are typed yet."""
     dated = raw.withColumns(
         {c: to_timestamp(c, strict) for c in ("inspection_date", "approved_date")}
-    ).select("job_ticket_or_work_order_id", "inspection_date", "approved_date", *_RAT_TIE_BREAK)
+    ).select("job_ticket_or_work_order_id", "inspection_date", "approved_date", *RAT_TIE_BREAK)
     return latest_per_key(
         dated,
         keys=["job_ticket_or_work_order_id"],
         newest_first=["inspection_date", "approved_date"],
-        tie_break=_RAT_TIE_BREAK,
+        tie_break=RAT_TIE_BREAK,
     )
 
 
