@@ -98,7 +98,11 @@ def restaurant_stats_6m(visits: DataFrame, as_of: AsOf = None) -> DataFrame:
 
 
 def area_stats(stats: DataFrame, key: str, prefix: str) -> DataFrame:
-    """Establishments rolled up to one area column, names prefixed by its kind."""
+    """Establishments rolled up to one area column, names prefixed by its kind.
+
+    Coordinates are averaged as decimals, so their means do not depend on the
+    order of the rows.
+    """
     def mean(name: str, of: str) -> Column:
         return safe_ratio(F.sum(name), F.count(F.lit(1) if of == "*" else F.col(of)))
 
@@ -107,8 +111,8 @@ def area_stats(stats: DataFrame, key: str, prefix: str) -> DataFrame:
         mean("avg_moderate_vio_count_6m", of="camis").alias(f"{prefix}_avg_moderate_vio_count_6m"),
         mean("avg_score_orig_6m", of="*").alias(f"{prefix}_avg_score"),
         *[F.sum(f"grade_{g}_count_6m").alias(f"{prefix}_grade_{g}_count") for g in _GRADES],
-        F.avg(F.col("latitude").cast("double")).alias(f"{prefix}_latitude"),
-        F.avg(F.col("longitude").cast("double")).alias(f"{prefix}_longitude"),
+        F.avg("latitude").cast("double").alias(f"{prefix}_latitude"),
+        F.avg("longitude").cast("double").alias(f"{prefix}_longitude"),
     )
 
 
