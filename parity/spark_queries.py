@@ -384,8 +384,13 @@ _QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
 }
 
 
+def build(name: str, layers: Layers) -> DataFrame:
+    """A query's result in the operator's own types."""
+    return _QUERIES[name](layers)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    def bind(build: Callable[[Layers], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, sf_dir: comparable(build(Layers(spark, sf_dir)))
+    def bind(name: str) -> Callable[[SparkSession, str], DataFrame]:
+        return lambda spark, sf_dir: comparable(build(name, Layers(spark, sf_dir)))
 
-    return {name: bind(build) for name, build in _QUERIES.items()}
+    return {name: bind(name) for name in _QUERIES}
