@@ -22,8 +22,9 @@ AS_OF = star_feeds.AS_OF
 class Layers:
     """The models over one folder of test tables, each built on first use.
 
-    Everything is lazy but the two half-year summaries: they are read three
-    times each, so they are written to the shared scratch folder first.
+    All is lazy except what a score reads more than once: the deduplicated
+    restaurant rows and the two half-year summaries are written to the shared
+    scratch folder first.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -82,7 +83,9 @@ class Layers:
 
     @cached_property
     def restaurant_risk(self) -> DataFrame:
-        stored = pipeline.restaurant_summary(self.mart_restaurant, self.store, AS_OF)
+        cleaned = self.store.save(self.clean_restaurant, "clean", "clean_restaurant_inspection")
+        mart = stage.mart_restaurant(stage.stage_restaurant(cleaned, AS_OF))
+        stored = pipeline.restaurant_summary(mart, self.store, AS_OF)
         return restaurant_risk.restaurant_risk(stored, AS_OF)
 
     @cached_property

@@ -44,6 +44,9 @@ def visit_stats(mart: DataFrame) -> DataFrame:
     those k * k copies, the maxima and k are aggregated per visit first; only
     ``total_critical_count`` depends on the copies and is multiplied.  Rows
     without an establishment belong to no visit.
+
+    Grades are single letters; their maximum is taken over character codes,
+    because Spark aggregates numbers by hashing but text only after a sort.
     """
     known = mart.where(F.col("camis").isNotNull() & F.col("inspection_date").isNotNull())
     visits = violation_counts(known).groupBy("camis", "inspection_date").agg(
@@ -54,7 +57,7 @@ def visit_stats(mart: DataFrame) -> DataFrame:
     described = known.groupBy(*SITE_KEYS, "inspection_date").agg(
         F.count_if(F.col("critical_flag") == "CRITICAL").alias("_critical_rows"),
         F.avg("computed_score").alias("avg_computed_score"),
-        F.max("computed_grade").alias("computed_grade"),
+        F.max(F.ascii("computed_grade")).alias("_grade_code"),
         F.max("latitude").alias("latitude"),
         F.max("longitude").alias("longitude"),
         F.max("extract_date").alias("extract_date"),
@@ -66,7 +69,7 @@ def visit_stats(mart: DataFrame) -> DataFrame:
         "moderate_vio_count",
         (F.col("_critical_rows") * F.col("_variants") * F.col("_variants")).alias("total_critical_count"),
         "avg_computed_score",
-        "computed_grade",
+        F.char("_grade_code").alias("computed_grade"),
         "latitude",
         "longitude",
         "extract_date",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame
@@ -43,30 +44,41 @@ def run(
 
     Each is written once and read back, so no model is computed twice and each
     stage of the run restarts from stored tables.  The two half-year summaries,
-    read three times each, are stored as well.
+    read three times each, are stored as well.  The two feeds meet only in the
+    last model, so their jobs are submitted side by side.
     """
-    clean_restaurant = store.save(clean.clean_restaurant(raw_restaurant, as_of, strict), "clean", "clean_restaurant_inspection")
-    clean_rat = store.save(clean.clean_rat(raw_rat, as_of, strict), "clean", "clean_rat_inspection")
-    stage_restaurant = store.save(stage.stage_restaurant(clean_restaurant, as_of), "stage", "stg_restaurant_inspection")
-    stage_rat = store.save(stage.stage_rat(clean_rat, as_of), "stage", "stg_rat_inspection")
-    mart_restaurant = store.save(stage.mart_restaurant(stage_restaurant), "mart", "mart_restaurant_inspection")
-    mart_rat = store.save(stage.mart_rat(stage_rat), "mart", "mart_rat_inspection")
-
-    restaurant_risk_table = store.save(
-        restaurant_risk.restaurant_risk(restaurant_summary(mart_restaurant, store, as_of), as_of),
-        "mart", "mart_restaurant_risk_analysis",
-    )
-    rat_risk_table = store.save(
-        building_risk.rat_risk(building_summary(mart_rat, store, as_of), as_of),
-        "mart", "mart_rat_inspection_analysis",
-    )
-    model = store.save(
-        combined_risk.risk_model(restaurant_risk_table, rat_risk_table), "mart", "mart_rat_risk_model"
-    )
-    return Tables(
-        clean_restaurant, clean_rat, stage_restaurant, stage_rat, mart_restaurant, mart_rat,
-        restaurant_risk_table, rat_risk_table, model,
-    )
+    with ThreadPoolExecutor(max_workers=2) as sides:
+        restaurants = sides.submit(_restaurant_side, raw_restaurant, store, as_of, strict)
+        rats = sides.submit(_rat_side, raw_rat, store, as_of, strict)
+        models = {**restaurants.result(), **rats.result()}
+    model = combined_risk.risk_model(models["restaurant_risk"], models["rat_risk"])
+    return Tables(**models, risk_model=store.save(model, "mart", "mart_rat_risk_model"))
+
+
+def _restaurant_side(raw: DataFrame, store: TableStore, as_of: AsOf, strict: bool) -> dict[str, DataFrame]:
+    cleaned = store.save(clean.clean_restaurant(raw, as_of, strict), "clean", "clean_restaurant_inspection")
+    staged = store.save(stage.stage_restaurant(cleaned, as_of), "stage", "stg_restaurant_inspection")
+    mart = store.save(stage.mart_restaurant(staged), "mart", "mart_restaurant_inspection")
+    scores = restaurant_risk.restaurant_risk(restaurant_summary(mart, store, as_of), as_of)
+    return {
+        "clean_restaurant": cleaned,
+        "stage_restaurant": staged,
+        "mart_restaurant": mart,
+        "restaurant_risk": store.save(scores, "mart", "mart_restaurant_risk_analysis"),
+    }
+
+
+def _rat_side(raw: DataFrame, store: TableStore, as_of: AsOf, strict: bool) -> dict[str, DataFrame]:
+    cleaned = store.save(clean.clean_rat(raw, as_of, strict), "clean", "clean_rat_inspection")
+    staged = store.save(stage.stage_rat(cleaned, as_of), "stage", "stg_rat_inspection")
+    mart = store.save(stage.mart_rat(staged), "mart", "mart_rat_inspection")
+    scores = building_risk.rat_risk(building_summary(mart, store, as_of), as_of)
+    return {
+        "clean_rat": cleaned,
+        "stage_rat": staged,
+        "mart_rat": mart,
+        "rat_risk": store.save(scores, "mart", "mart_rat_inspection_analysis"),
+    }
 
 
 def restaurant_summary(mart: DataFrame, store: TableStore, as_of: AsOf = None) -> DataFrame:

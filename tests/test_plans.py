@@ -135,3 +135,11 @@ def test_strictness_reaches_every_cast(spark, tmp_path):
     assert values(tables.mart_restaurant, "camis") == [2]
     assert values(tables.mart_rat, "bbl") == [None]
     assert clean.clean_restaurant(raw, AS_OF, strict=False).count() == 2
+
+
+def test_aggregates_hash_instead_of_sorting(stored):
+    tables, _ = stored
+    visits = restaurant_risk.visit_stats(tables.mart_restaurant)
+    for df in (visits, restaurant_risk.restaurant_stats_6m(visits, "2001-07-01"),
+               building_risk.building_stats_6m(tables.mart_rat, "2001-07-01")):
+        assert "SortAggregate" not in plan(df) and "ObjectHashAggregate" not in plan(df)

@@ -1,6 +1,8 @@
-from rows import AS_OF, violations
+from rows import AS_OF, values, violations
 from sitegrade import fixed_values as fixed
 from sitegrade.operators import quality
+from sitegrade.plans.audit import audit
+from sitegrade.sources.sinks import TableStore
 
 CHECKS = {
     "not_null": ["k"],
@@ -85,3 +87,12 @@ def test_single_row_checks_share_one_scan(spark, tmp_path):
     single = {k: CHECKS[k] for k in ("not_null", "accepted_range", "row_count")}
     plan = quality.check_table(df, "t", single)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1
+
+
+def test_audit_stores_failures(spark, tmp_path):
+    store = TableStore(str(tmp_path))
+    result = audit({"t": sample(spark), "unchecked": spark.range(1)}, store, {"t": CHECKS})
+    assert {r.check_name: r.failures for r in result.collect()}["unique"] == 2
+    nulls = spark.read.parquet(store.path("audit", "t")).where("check_name = 'not_null' AND column_name = 'k'")
+    assert values(nulls, "v", "n") == [("B", 5), (None, None)]
+    assert values(store.read(spark, "audit", "t_k"), "value", "rows") == [(1, 2), (2, 2)]
