@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 import re
 
+from parity import TIE_NUDGE
 from sitegrade import fixed_values as fixed
 from sitegrade.operators import building_risk, clean, restaurant_risk
 from sitegrade.plans import star_feeds
@@ -21,6 +22,11 @@ _BUILDING = ", ".join(building_risk.BUILDING_KEYS)
 # ------------------------------------------------------------ text fragments
 
 
+def _six(expr: str) -> str:
+    """Six digits; the nudge keeps decimal ties from being decided by the last bit of a double."""
+    return f"ROUND(CAST({expr} AS DOUBLE) + {TIE_NUDGE}, 6)"
+
+
 def _quoted(values: list[str]) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
@@ -355,7 +361,7 @@ def _with_models(query: str) -> str:
 
 def _compare(source: str, doubles: str = "", columns: str = "*", dates: str = "extract_date") -> str:
     """All columns of a model, doubles to 6 digits and dates as text."""
-    replaced = [f"ROUND(CAST({c} AS DOUBLE), 6) AS {c}" for c in doubles.split()]
+    replaced = [f"{_six(c)} AS {c}" for c in doubles.split()]
     replaced += [f"CAST({c} AS VARCHAR) AS {c}" for c in dates.split()]
     replace = f" REPLACE ({', '.join(replaced)})" if replaced else ""
     return f"SELECT {columns}{replace} FROM {source}"
@@ -443,8 +449,8 @@ _QUERIES: dict[str, str] = {
     "dedup_by_hash_key": _compare("latest_restaurant", _PLACE, dates=""),
     "dedup_latest_work_order": _compare("latest_work_order", dates=""),
     "visit_avg_score": _compare("visit_avg_score", "avg_score", dates=""),
-    "attach_visit_score": """SELECT inspection_order_id, camis, inspection_date, score,
-  ROUND(computed_score, 6) AS computed_score FROM scored_restaurant""",
+    "attach_visit_score": f"""SELECT inspection_order_id, camis, inspection_date, score,
+  {_six('computed_score')} AS computed_score FROM scored_restaurant""",
     "building_coordinates": _compare("building_coordinates", _PLACE, dates=""),
     "severe_violations": _compare("severe_violations", dates=""),
     "moderate_violations": _compare("moderate_violations", dates=""),
@@ -461,12 +467,12 @@ _QUERIES: dict[str, str] = {
   MD5(CONCAT_WS('', camis, bin, violation_code, inspection_date)) AS inspection_order_id FROM raw_restaurant""",
     "normalise_case": """SELECT dba, LOWER(dba) AS dba_lower, UPPER(boro) AS boro,
   UPPER(critical_flag) AS critical_flag, UPPER(violation_code) AS violation_code FROM raw_restaurant""",
-    "typed_casts": """
+    "typed_casts": f"""
 SELECT l_orderkey, l_linenumber,
   CAST(CAST(l_extendedprice AS VARCHAR) AS INTEGER) AS price_int,
   CAST('-' || CAST(l_extendedprice AS VARCHAR) AS INTEGER) AS negative_price_int,
   CAST('10000' || CAST(l_orderkey AS VARCHAR) AS BIGINT) AS long_id,
-  ROUND(CAST(CAST(l_extendedprice AS VARCHAR) AS DOUBLE), 6) AS price_double,
+  {_six('CAST(l_extendedprice AS VARCHAR)')} AS price_double,
   CAST(CAST(CAST(l_discount AS VARCHAR) AS DECIMAL(18, 12)) AS VARCHAR) AS discount_decimal,
   CAST(CAST(l_shipdate AS VARCHAR) AS TIMESTAMP) AS shipped_at
 FROM lineitem""",
@@ -475,15 +481,16 @@ SELECT o_orderkey, {_days('o_orderdate')} AS days,
   CAST({AS_OF} - INTERVAL {fixed.RECENT_MONTHS} MONTH AS TIMESTAMP) AS one_month_before,
   CAST({AS_OF} - INTERVAL {fixed.TRAILING_MONTHS} MONTH AS TIMESTAMP) AS six_months_before
 FROM orders""",
-    "safe_ratio": """
-SELECT l_orderkey, ROUND(SUM(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END)
-  / NULLIF(SUM(CASE WHEN l_linestatus = 'F' THEN l_quantity ELSE 0 END), 0), 6) AS ratio
-FROM lineitem GROUP BY l_orderkey""",
+    "safe_ratio": f"""
+SELECT l_orderkey, {_six('returned / NULLIF(finished, 0)')} AS ratio
+FROM (SELECT l_orderkey, SUM(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) AS returned,
+        SUM(CASE WHEN l_linestatus = 'F' THEN l_quantity ELSE 0 END) AS finished
+      FROM lineitem GROUP BY l_orderkey)""",
     "capped_sum": f"""
-SELECT o_orderkey, ROUND({_weighted(
+SELECT o_orderkey, {_six(_weighted(
     [('o_totalprice / 1000', 0.2), ('CASE WHEN o_custkey % 7 <> 0 THEN o_totalprice / 1000 END', 0.5),
      ('o_totalprice / 1000 - 10', -0.5)],
-    "CASE WHEN o_orderstatus = 'F' THEN 18 ELSE 0 END")}, 6) AS score
+    "CASE WHEN o_orderstatus = 'F' THEN 18 ELSE 0 END"))} AS score
 FROM orders""",
     "date_range_filter": f"""
 SELECT job_id, CAST(inspection_date AS TIMESTAMP) AS inspection_date FROM raw_rat
@@ -493,38 +500,38 @@ SELECT inspection_order_id, camis, inspection_date FROM typed_restaurant
 WHERE inspection_date <> TIMESTAMP '{fixed.UNINSPECTED_SENTINEL}'""",
     "trailing_window": f"SELECT o_orderkey, o_orderdate FROM orders WHERE {_recent('o_orderdate')}",
     "inspection_type_counts": f"SELECT bin, {_KINDS} FROM clean_rat GROUP BY bin",
-    "outcome_counts": f"""SELECT * REPLACE (ROUND(failure_rate_6m, 6) AS failure_rate_6m,
-  ROUND(rat_activity_rate_6m, 6) AS rat_activity_rate_6m)
+    "outcome_counts": f"""SELECT * REPLACE ({_six('failure_rate_6m')} AS failure_rate_6m,
+  {_six('rat_activity_rate_6m')} AS rat_activity_rate_6m)
 FROM (SELECT bin, {_OUTCOMES}, {_RATES} FROM clean_rat GROUP BY bin)""",
     "top_risk_restaurants": _compare("restaurant_risk", f"{_AVERAGES} {_RESTAURANT_SCORES} {_PLACE}")
     + " ORDER BY restaurant_risk_score DESC NULLS LAST",
     "top_risk_buildings": _compare("rat_risk", f"bin_rr_score street_rr_score zip_rr_score {_PLACE}")
     + " ORDER BY bin_rr_score DESC NULLS LAST",
     "grade_bands": f"""
-SELECT l_orderkey, ROUND(mean, 6) AS mean, {_grade('mean')} AS grade
+SELECT l_orderkey, {_six('mean')} AS mean, {_grade('mean')} AS grade
 FROM (SELECT l_orderkey, AVG(CASE WHEN l_orderkey % 97 <> 0 THEN l_quantity - 5 END) AS mean
       FROM lineitem GROUP BY l_orderkey)""",
     "recency_flag": f"""
 SELECT o_orderkey, CASE WHEN o_orderdate < {AS_OF} - INTERVAL {fixed.RECENT_MONTHS} MONTH THEN 'N' ELSE 'Z' END AS grade
 FROM orders""",
     "recency_penalty": f"""
-SELECT o_orderkey, ROUND(CAST({_restaurant_penalty('o_orderdate')} AS DOUBLE), 6) AS penalty FROM orders""",
-    "restaurant_score": f"SELECT {_SITE}, ROUND({_RESTAURANT_SCORE}, 6) AS restaurant_risk_score FROM restaurant_stats_6m",
+SELECT o_orderkey, {_six(_restaurant_penalty('o_orderdate'))} AS penalty FROM orders""",
+    "restaurant_score": f"SELECT {_SITE}, {_six(_RESTAURANT_SCORE)} AS restaurant_risk_score FROM restaurant_stats_6m",
     "restaurant_street_score": f"""
-SELECT street, ROUND({_restaurant_area_score('street')}, 6) AS street_risk_score FROM restaurant_street_stats""",
+SELECT street, {_six(_restaurant_area_score('street'))} AS street_risk_score FROM restaurant_street_stats""",
     "restaurant_zip_score": f"""
-SELECT zipcode, ROUND({_restaurant_area_score('zip')}, 6) AS zip_risk_score FROM restaurant_zip_stats""",
+SELECT zipcode, {_six(_restaurant_area_score('zip'))} AS zip_risk_score FROM restaurant_zip_stats""",
     "building_recency_penalty": f"""
-SELECT o_orderkey, ROUND(CAST({_building_penalty('seen')} AS DOUBLE), 6) AS penalty
+SELECT o_orderkey, {_six(_building_penalty('seen'))} AS penalty
 FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 211 <> 0 THEN o_orderdate END AS seen FROM orders)""",
     "evidence_penalty": f"""
 SELECT bin, inspection_date,
   {_evidence('total_inspections_6m', 'failed_inspections_6m', 'rat_activities_6m')} AS penalty
 FROM (SELECT bin, inspection_date, {_OUTCOMES} FROM clean_rat GROUP BY bin, inspection_date)""",
-    "building_score": f"SELECT {_BUILDING}, ROUND({_BUILDING_SCORE}, 6) AS bin_rr_score FROM building_stats_6m",
-    "rat_street_score": f"SELECT street, ROUND({_RAT_STREET_SCORE}, 6) AS street_rr_score FROM rat_street_stats",
-    "rat_zip_score": f"SELECT zipcode, ROUND({_RAT_ZIP_SCORE}, 6) AS zip_rr_score FROM rat_zip_stats",
-    "combined_score": "SELECT camis, dba, bin, ROUND(rat_risk_score, 6) AS rat_risk_score FROM risk_model",
+    "building_score": f"SELECT {_BUILDING}, {_six(_BUILDING_SCORE)} AS bin_rr_score FROM building_stats_6m",
+    "rat_street_score": f"SELECT street, {_six(_RAT_STREET_SCORE)} AS street_rr_score FROM rat_street_stats",
+    "rat_zip_score": f"SELECT zipcode, {_six(_RAT_ZIP_SCORE)} AS zip_rr_score FROM rat_zip_stats",
+    "combined_score": f"SELECT camis, dba, bin, {_six('rat_risk_score')} AS rat_risk_score FROM risk_model",
     "risk_category_counts": 'SELECT risk_category, COUNT(*) AS "rows" FROM risk_model GROUP BY risk_category',
     "dq_not_null": _check_kind("not_null", "raw_restaurant", "raw_rat", "clean_restaurant", "clean_rat"),
     "dq_accepted_values": _check_kind("accepted_values", "raw_restaurant", "clean_rat", "stage_restaurant"),

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from parity import TIE_NUDGE
 from sitegrade import fixed_values as fixed
 from sitegrade.functions import dates, scoring
 from sitegrade.functions.casts import to_coordinate, to_double, to_int, to_long, to_timestamp
@@ -29,14 +31,11 @@ class Layers:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = configure(spark), sf_dir
+        self.store = TableStore(scratch_root(spark))
 
     def table(self, name: str) -> DataFrame:
         return star_feeds.table(self.spark, self.sf_dir, name)
 
-    @cached_property
-    def store(self) -> TableStore:
-        return TableStore(scratch_root(self.spark))
-
     @cached_property
     def raw_restaurant(self) -> DataFrame:
         return star_feeds.raw_restaurant(self.spark, self.sf_dir)
@@ -95,7 +94,11 @@ class Layers:
 
     @cached_property
     def risk_model(self) -> DataFrame:
-        return combined_risk.risk_model(self.restaurant_risk, self.rat_risk)
+        """Both sides store tables on the way, so they are built side by side."""
+        with ThreadPoolExecutor(max_workers=2) as sides:
+            restaurants = sides.submit(lambda: self.restaurant_risk)
+            rats = sides.submit(lambda: self.rat_risk)
+            return combined_risk.risk_model(restaurants.result(), rats.result())
 
     @cached_property
     def stored(self) -> pipeline.Tables:
@@ -107,7 +110,7 @@ def comparable(df: DataFrame) -> DataFrame:
     def column(field: T.StructField):
         col = F.col(field.name)
         if isinstance(field.dataType, (T.DoubleType, T.DecimalType)):
-            col = F.round(col.cast("double"), 6)
+            col = F.round(col.cast("double") + TIE_NUDGE, 6)
         elif isinstance(field.dataType, T.DateType):
             col = col.cast("string")
         return col.alias(field.name)
