@@ -20,7 +20,8 @@ def append_new_landings(
 
     ``checkpoint`` remembers the files across runs and must lie on shared
     storage; the file sink commits each batch atomically, so a restarted run
-    neither loses nor repeats a file.
+    neither loses nor repeats a file.  Readers of ``raw_path`` then see only what
+    streams committed, so do not mix it with :func:`sitegrade.sources.feeds.append_raw`.
     """
     source = spark.readStream.schema(feed.schema)
     if files_per_batch:
