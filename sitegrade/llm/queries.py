@@ -1,4 +1,4 @@
-"""The registered queries of this package: thin contracts over its operators."""
+"""The registered queries of this package: thin contracts over its operators, and their SQL."""
 
 from __future__ import annotations
 
@@ -7,10 +7,33 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sitegrade.llm import token_counts
+from sitegrade.llm import licenses, sharding, token_counts, topk, url_filter
 from sitegrade.llm.common import table
 
+TOP_K, QUERY_EVERY = 20, 20
 CONTEXT_TOKENS = 4096
+SHARDS, SHARD_SEED = 16, 20240229
+URL_RULES = [
+    url_filter.Rule("net", "/", "block"),
+    url_filter.Rule("example.net", "/en/", "allow"),
+    url_filter.Rule("example.com", "/de/", "block"),
+    url_filter.Rule("org", "/fr/", "allow"),
+]
+
+
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % QUERY_EVERY == 0), TOP_K)
+
+
+OP3_SQL = """
+WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, q.e, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e))
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id, e ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,9 +43,32 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > CONTEXT_TOKENS).alias("over_limit"), "fit_chars")
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = sharding.shuffled_shards(table(spark, sf_dir, "documents"), SHARDS, SHARD_SEED)
+    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    return shards.select(
+        "doc_id", sharding.text_size().alias("size"), crc.alias("text_crc32"), F.lit("rows").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.known_digests(spark))
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_token_counts": op4_token_counts}
+    return {
+        "op3_exact_top_k": op3_exact_top_k,
+        "op4_token_counts": op4_token_counts,
+        "op6_sharding": op6_sharding,
+        "op8_license_scan": op8_license_scan,
+        "op10_url_filter": op10_url_filter,
+    }
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {"op3_exact_top_k": OP3_SQL, "op8_license_scan": licenses.oracle()}
