@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sitegrade.llm import licenses, sharding, token_counts, topk, url_filter
+from sitegrade.llm import licenses, line_dedup, sharding, token_counts, topk, url_filter
 from sitegrade.llm.common import table
 
 TOP_K, QUERY_EVERY = 20, 20
@@ -56,6 +56,23 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), licenses.known_digests(spark))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+OP9_SQL = """
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+lines AS (SELECT doc_id, unnest(ls) AS l, generate_subscripts(ls, 1) AS i FROM split),
+keyed AS (SELECT *, translate(trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+shared AS (SELECT k, min(doc_id) AS owner FROM keyed WHERE length(k) >= 10 GROUP BY 1 HAVING count(DISTINCT doc_id) > 1)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (owner <> doc_id) AS n_dropped,
+  sha256(coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (owner IS NULL OR owner = doc_id), '')) AS kept_sha256
+FROM keyed LEFT JOIN shared USING (k) GROUP BY doc_id
+"""
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -66,9 +83,10 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_token_counts": op4_token_counts,
         "op6_sharding": op6_sharding,
         "op8_license_scan": op8_license_scan,
+        "op9_line_dedup": op9_line_dedup,
         "op10_url_filter": op10_url_filter,
     }
 
 
 def oracles() -> dict[str, str]:
-    return {"op3_exact_top_k": OP3_SQL, "op8_license_scan": licenses.oracle()}
+    return {"op3_exact_top_k": OP3_SQL, "op8_license_scan": licenses.oracle(), "op9_line_dedup": OP9_SQL}
