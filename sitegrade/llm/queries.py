@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sitegrade.llm import licenses, line_dedup, sharding, token_counts, topk, url_filter
+from sitegrade.llm import decontamination, jaccard_join, licenses, line_dedup, sharding, token_counts, topk, url_filter
 from sitegrade.llm.common import table
 
 TOP_K, QUERY_EVERY = 20, 20
@@ -21,6 +21,22 @@ URL_RULES = [
 ]
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = decontamination.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return hits.select("doc_id", "item_id", "n_item", "n_shared", "containment")
+
+
+OP1_SQL = """
+WITH d AS (SELECT DISTINCT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w FROM benchmark),
+bs AS (SELECT DISTINCT item_id, len(w) AS k, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT *, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM b WHERE len(w) > 0)),
+ds AS (SELECT DISTINCT doc_id, w, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT *, unnest(range(1, len(w) - 3)) AS i FROM d)),
+n AS (SELECT item_id, count(*) AS n_item FROM bs GROUP BY 1)
+SELECT doc_id, item_id, CAST(n_item AS INTEGER) AS n_item, CAST(count(*) AS INTEGER) AS n_shared, count(*) / n_item AS containment
+FROM ds JOIN bs USING (s) JOIN n USING (item_id) GROUP BY doc_id, w, item_id, n_item HAVING count(*) / n_item >= 0.8 - 1e-9
+"""
+
+
 def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % QUERY_EVERY == 0), TOP_K)
@@ -52,6 +68,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_groups(table(spark, sf_dir, "documents")).drop("row")
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), licenses.known_digests(spark))
 
@@ -79,9 +99,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontamination": op1_decontamination,
         "op3_exact_top_k": op3_exact_top_k,
         "op4_token_counts": op4_token_counts,
         "op6_sharding": op6_sharding,
+        "op7_jaccard_join": op7_jaccard_join,
         "op8_license_scan": op8_license_scan,
         "op9_line_dedup": op9_line_dedup,
         "op10_url_filter": op10_url_filter,
@@ -89,4 +111,4 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracles() -> dict[str, str]:
-    return {"op3_exact_top_k": OP3_SQL, "op8_license_scan": licenses.oracle(), "op9_line_dedup": OP9_SQL}
+    return {"op1_decontamination": OP1_SQL, "op3_exact_top_k": OP3_SQL, "op8_license_scan": licenses.oracle(), "op9_line_dedup": OP9_SQL}
