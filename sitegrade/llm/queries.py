@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sitegrade.llm import decontamination, jaccard_join, licenses, line_dedup, sharding, token_counts, topk, url_filter
+from sitegrade.llm import decontamination, importance_resampling, jaccard_join, licenses, line_dedup, sharding, token_counts, topk, url_filter
 from sitegrade.llm.common import table
 
 TOP_K, QUERY_EVERY = 20, 20
@@ -37,6 +37,12 @@ FROM ds JOIN bs USING (s) JOIN n USING (item_id) GROUP BY doc_id, w, item_id, n_
 """
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance_resampling.select(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    doc_id = F.when(F.col("doc") < importance_resampling.LAST_ID, F.col("doc")).alias("doc_id")
+    return drawn.scored.select(doc_id, "log_weight", "perturbed", (F.col("perturbed") >= drawn.threshold).alias("keep"))
+
+
 def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % QUERY_EVERY == 0), TOP_K)
@@ -100,6 +106,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
+        "op2_quality_classifier": op2_quality_classifier,
         "op3_exact_top_k": op3_exact_top_k,
         "op4_token_counts": op4_token_counts,
         "op6_sharding": op6_sharding,
