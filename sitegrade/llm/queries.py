@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sitegrade.llm import decontamination, importance_resampling, jaccard_join, licenses, line_dedup, sharding, token_counts, topk, url_filter
+from sitegrade.llm import decontamination, importance_resampling, jaccard_join, licenses, line_dedup, packing, sharding, token_counts, topk, url_filter
 from sitegrade.llm.common import table
 
 TOP_K, QUERY_EVERY = 20, 20
@@ -65,6 +65,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > CONTEXT_TOKENS).alias("over_limit"), "fit_chars")
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = sharding.shuffled_shards(table(spark, sf_dir, "documents"), SHARDS, SHARD_SEED)
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
@@ -109,6 +114,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_quality_classifier": op2_quality_classifier,
         "op3_exact_top_k": op3_exact_top_k,
         "op4_token_counts": op4_token_counts,
+        "op5_packing": op5_packing,
         "op6_sharding": op6_sharding,
         "op7_jaccard_join": op7_jaccard_join,
         "op8_license_scan": op8_license_scan,
