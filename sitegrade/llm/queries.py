@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -120,6 +121,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_scan": op8_license_scan,
         "op9_line_dedup": op9_line_dedup,
         "op10_url_filter": op10_url_filter,
+        "pipeline": corpus_pipeline.run,
     }
 
 
