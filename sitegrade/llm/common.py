@@ -20,14 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch(spark: SparkSession) -> str:
     """A new folder in the one that ``spark.checkpoint.dir`` names, removed when the driver's JVM ends.
 
-    Where the setting is missing it is set first: to the folder given to
-    ``setCheckpointDir`` or, for want of any, to one under the warehouse.
+    Where the setting is missing, the folder given to ``setCheckpointDir`` serves;
+    where that is missing, too, it is set to one beside the warehouse's tables.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        chosen = spark.sparkContext.getCheckpointDir()
-        shared = chosen or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
-        spark.conf.set("spark.checkpoint.dir", shared)
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints")
+        shared = spark.sparkContext.getCheckpointDir()
     folder = f"{shared.rstrip('/')}/llm-{uuid.uuid4().hex}"
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)

@@ -86,30 +86,26 @@ def _best_fit(counts: dict[int, int], capacity: int) -> Counter:
 
 
 def _greedy_start(histogram: dict[int, int], capacity: int) -> list[dict[int, int]]:
-    """One pattern for each length: longest first, as much as is left of it fits; each is used until one of its lengths is used up.
+    """One pattern for each length: longest first, as much as is left of it fits; each is used, in fractions, until one of its lengths is used up.
 
     The patterns in this order, and the lengths in the order in which they run
-    out, make a triangular matrix, so the patterns are a basis.
+    out, make a triangular matrix, so the patterns are a basis, and a feasible one.
     """
-    left, patterns = dict(histogram), []
+    left, patterns = {l: float(n) for l, n in histogram.items()}, []
     while left:
         room, pattern = capacity, {}
         for length in sorted(left, reverse=True):
-            copies = min(room // length, left[length])
+            copies = min(room // length, max(1, int(left[length])))
             if copies:
                 pattern[length] = copies
                 room -= copies * length
-        times = min(left[l] // n for l, n in pattern.items())
+        times = min(left[l] / n for l, n in pattern.items())
         for l, n in pattern.items():
             left[l] -= n * times
-        gone = [l for l, n in pattern.items() if left[l] == 0]
-        if not gone:
-            # Fewer are left of some length than the pattern holds; the next pattern, with fewer copies, comes nearer.
-            continue
-        patterns.append(pattern)
+        gone = [l for l in pattern if left[l] <= 1e-9 * histogram[l]]
+        patterns += [pattern, *({l: capacity // l} for l in gone[1:])]
         for l in gone:
             del left[l]
-        patterns += [{l: capacity // l} for l in gone[1:]]
     return patterns
 
 
@@ -158,7 +154,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, gap: float = GAP,
         now = float((cost * amount).sum())
         # Scaling the prices down until no column is worth more than it costs gives a bound on every packing.
         worth = float(np.max(best[1:] / costs_by_fill[1:]))
-        bound = max(bound, now / max(worth, 1.0))
+        bound = max(bound, float((duals * demand).sum()) / max(worth, 1.0))
         trail.append(now)
         stalled = len(trail) > STALL and trail[-1 - STALL] - now < gap / 20 * now
         if now - bound <= gap * now or stalled:

@@ -1,0 +1,225 @@
+import math
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from conftest import ODD_ROWS, table as odd_table
+from pyspark.sql import functions as F
+
+from sitegrade.llm import decontamination, jaccard_join, line_dedup
+from sitegrade.llm.common import table, words
+from sitegrade.llm.components import components
+from sitegrade.llm.common import scratch
+
+
+def test_cuckoo_filter_forgets_what_is_taken_out():
+    rng = np.random.default_rng(1)
+    h1, h2 = rng.integers(-(2**63), 2**63 - 1, (2, 5000))
+    held = line_dedup.CuckooFilter.sized(5000)
+    held.add(h1[:4000], h2[:4000])
+    assert held.has(h1[:4000], h2[:4000]).all()
+    assert held.has(h1[4000:], h2[4000:]).mean() < 0.01
+    held.remove(h1[:2000], h2[:2000])
+    assert held.has(h1[2000:4000], h2[2000:4000]).all()
+    assert held.has(h1[:2000], h2[:2000]).mean() < 0.01
+
+
+def test_cuckoo_filter_beyond_its_room_keeps_every_key():
+    rng = np.random.default_rng(2)
+    h1, h2 = rng.integers(-(2**63), 2**63 - 1, (2, 400))
+    full = line_dedup.CuckooFilter(16)
+    full.add(h1, h2)
+    again = line_dedup.CuckooFilter.of(type("Row", (), full.row(0)))
+    assert full.stash and again.has(h1, h2).all()
+    again.remove(h1, h2)
+    assert not again.stash
+
+
+def key(line):
+    return line.strip(" \t\n\x0b\f\r").translate({c: c + 32 for c in range(65, 91)})
+
+
+def kept_lines(rows):
+    holders = defaultdict(set)
+    order = lambda i: (i is None, i)
+    for i, text in rows:
+        for line in (text or "").split("\n"):
+            holders[key(line)].add(order(i))
+    out = []
+    for i, text in rows:
+        lines = (text or "").split("\n")
+        kept = [l for l in lines if len(key(l)) < 10 or len(holders[key(l)]) < 2 or min(holders[key(l)]) == order(i)]
+        out.append((i, len(lines), len(lines) - len(kept), text if len(kept) == len(lines) else "\n".join(kept)))
+    return Counter(out)
+
+
+def test_lines_of_odd_rows(odd, nothing):
+    out = line_dedup.deduplicate(odd)
+    assert Counter((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in out.collect()) == kept_lines(ODD_ROWS)
+    assert out.columns == [*odd.columns, "n_lines", "n_dropped"]
+    assert line_dedup.deduplicate(nothing).count() == 0
+
+
+def test_line_index_is_reversible(spark):
+    rnd = random.Random(5)
+    lines = [f"line number {n} of the pool" for n in range(60)]
+    rows = [(i, "\n".join(rnd.choices(lines, k=rnd.randint(1, 8)))) for i in range(40)]
+    index = line_dedup.LineIndex(spark, shards=3)
+    for part in (rows[::2], rows[1::2]):
+        index.insert(line_dedup.line_keys(odd_table(spark, part)))
+    gone = spark.createDataFrame([(i,) for i in range(0, 40, 3)] + [(999,)], "doc_id long")
+    index.delete(gone)
+    rest = [r for r in rows if r[0] % 3]
+    docs = odd_table(spark, rest)
+    out = line_dedup.without(docs, index.drops(line_dedup.line_keys(docs)))
+    assert Counter((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in out.collect()) == kept_lines(rest)
+    index.insert(line_dedup.line_keys(odd_table(spark, [r for r in rows if not r[0] % 3])))
+    docs = odd_table(spark, rows)
+    out = line_dedup.without(docs, index.drops(line_dedup.line_keys(docs)))
+    assert Counter((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in out.collect()) == kept_lines(rows)
+
+
+def test_components_of_chains_and_stars(spark):
+    edges = [(f"{a:03}", f"{a + 1:03}") for a in range(50)] + [("100", f"{b}") for b in range(101, 140)] + [("200", "200")]
+    found = {r.node: r.label for r in components(spark.createDataFrame(edges, "a string, b string"), scratch(spark)).collect()}
+    assert {found[f"{a:03}"] for a in range(51)} == {"000"} and {found[str(b)] for b in range(100, 140)} == {"100"}
+    assert "200" not in found
+
+
+def brute_groups(rows):
+    """(class, copies, links, group) of each row by all pairs."""
+    last = lambda i: 2**63 if i is None else i
+    classes = defaultdict(list)
+    for i, text in rows:
+        found = words(text)
+        classes[tuple(found) or text or ""].append(last(i))
+    sets = {k: {k[i : i + 5] for i in range(max(1, len(k) - 4))} if isinstance(k, tuple) else set() for k in classes}
+    keys, links, parent = list(classes), defaultdict(set), {k: k for k in classes}
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    for n, a in enumerate(keys):
+        for b in keys[:n]:
+            if sets[a] and sets[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                links[a].add(b)
+                links[b].add(a)
+                parent[root(a)] = root(b)
+    least = defaultdict(lambda: 2**63)
+    for k, ids in classes.items():
+        least[root(k)] = min(least[root(k)], *ids)
+    own = lambda i: None if i == 2**63 else i
+    out = []
+    for i, text in rows:
+        k = tuple(words(text)) or text or ""
+        out.append((i, own(min(classes[k])), len(classes[k]), len(links[k]), own(least[root(k)])))
+    return Counter(out), len({root(k) for k in keys})
+
+
+def near_copies(seed=7):
+    rnd = random.Random(seed)
+    vocabulary = [f"w{n}" for n in range(400)]
+    rows, n = [], 0
+    for size in (1, 1, 2, 5, 30):
+        base = rnd.choices(vocabulary, k=120)
+        for _ in range(size):
+            text = list(base)
+            for _ in range(rnd.randint(0, 3)):
+                text[rnd.randrange(len(text))] = rnd.choice(vocabulary)
+            rows.append((n, " ".join(text)))
+            n += 1
+    return rows + [(n, rows[0][1].upper() + "!"), (n + 1, "a b c"), (n + 2, "A, b c."), (n + 3, "a b")]
+
+
+@pytest.mark.parametrize("block", [1_000_000, 600])
+def test_joins_equal_all_pairs(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", block)  # small blocks: components are joined block by block
+    rows = near_copies()
+    groups = jaccard_join.jaccard_groups(odd_table(spark, rows))
+    wanted, n_groups = brute_groups(rows)
+    assert Counter((r.doc_id, r.class_id, r.n_copies, r.n_links, r.group_id) for r in groups.collect()) == wanted
+    assert jaccard_join.one_of_each(odd_table(spark, rows), groups).count() == n_groups
+
+
+def test_joins_of_documents_and_odd_rows(spark, sf_dir, odd, nothing):
+    for rows, docs in ((ODD_ROWS, odd), ([(r.doc_id, r.text) for r in table(spark, sf_dir, "documents").collect()], table(spark, sf_dir, "documents"))):
+        groups = jaccard_join.jaccard_groups(docs)
+        wanted, n_groups = brute_groups(rows)
+        assert Counter((r.doc_id, r.class_id, r.n_copies, r.n_links, r.group_id) for r in groups.collect()) == wanted
+    stays = jaccard_join.one_of_each(odd, jaccard_join.jaccard_groups(odd))
+    assert stays.columns == odd.columns and stays.where("doc_id = 3").count() == 1
+    assert jaccard_join.jaccard_groups(nothing).count() == 0
+
+
+def test_pairs_are_dropped_only_below_the_tolerance():
+    for n, least in jaccard_join.least_matches().items():
+        beyond = lambda m: sum(math.comb(n + 1, j) * 0.8**j * 0.2 ** (n + 1 - j) for j in range(m + 1))  # noqa: B023, E731
+        assert beyond(least) >= jaccard_join.TOLERANCE and (least == 0 or beyond(least - 1) < jaccard_join.TOLERANCE)
+
+
+def test_band_misses_are_rare():
+    s = 0.8
+    assert (1 - s**jaccard_join.BAND_ROWS) ** jaccard_join.BANDS < 1e-5
+
+
+ITEMS = [
+    (1, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"),
+    (2, "Short item"),
+    (3, None),
+    (4, "..."),
+    (5, "one two three four five six seven"),
+    (5, "one two three four five six seven"),
+    (None, "no id on this item at all"),
+]
+
+
+def brute_contained(docs, items):
+    out = set()
+    for i, text in set(docs):
+        w = words(text)
+        for item, itext in set(items):
+            v = words(itext)
+            if not v:
+                continue
+            size = min(5, len(v))
+            grams = {tuple(v[k : k + size]) for k in range(len(v) - size + 1)}
+            shared = len(grams & {tuple(w[k : k + size]) for k in range(len(w) - size + 1)})
+            if shared >= 0.8 * len(grams) - 1e-9:
+                out.add((i, item, len(grams), shared))
+    return out
+
+
+def test_items_in_odd_documents(spark, odd, nothing):
+    base = ITEMS[0][1].split()
+    long = " ".join(f"x{n}" for n in range(20_000))
+    more = [(20, f"{long} {ITEMS[0][1].upper()} {long}"), (21, "x " + " ".join(base[:11])), (22, " ".join(base[:9])), (23, "a SHORT, item!"), (24, "item short"), (25, "No id on this item at all")]
+    docs = odd_table(spark, ODD_ROWS + more)
+    items = spark.createDataFrame(ITEMS, "item_id long, text string").withColumn("shingles", F.lit("mine"))
+    hits = decontamination.contained_items(docs, items)
+    assert {(r.doc_id, r.item_id, r.n_item, r.n_shared) for r in hits.collect()} == brute_contained(ODD_ROWS + more, ITEMS)
+    clean = decontamination.without_contaminated(docs, hits)
+    dirty = {i for i, *_ in brute_contained(ODD_ROWS + more, ITEMS)}
+    assert clean.columns == docs.columns and Counter(r.doc_id for r in clean.collect()) == Counter(i for i, _ in ODD_ROWS + more if i not in dirty)
+    assert decontamination.contained_items(nothing, items).count() == 0
+    assert decontamination.contained_items(docs, items.limit(0)).count() == 0
+
+
+def test_any_contained_item_shares_a_sketch_value(spark):
+    rnd = random.Random(9)
+    item = [f"v{n}" for n in range(40)]
+    docs = []
+    for n in range(200):
+        start, length = rnd.randint(0, 12), rnd.randint(20, 40)
+        docs.append((n, " ".join(rnd.choices("abcdefgh", k=30) + item[start : start + length] + rnd.choices("abcdefgh", k=30))))
+    items = [(1, " ".join(item))]
+    hits = decontamination.contained_items(odd_table(spark, docs), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id, r.n_item, r.n_shared) for r in hits.collect()} == brute_contained(docs, items)
+
+
+def test_decontamination_is_native(spark, odd):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    plan = decontamination.contained_items(odd, items)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan

@@ -1,0 +1,156 @@
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sitegrade.llm import licenses, sharding, topk, url_filter
+from sitegrade.llm.common import scratch
+from sitegrade.llm.queries import URL_RULES, op6_sharding
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+
+
+def brute(rows, queries, k):
+    out = []
+    for q, a in queries:
+        scored = sorted((-int(np.dot(a, b)), i) for i, b in rows if i != q and len(a) == len(b))
+        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:k])]
+    return sorted(out)
+
+
+def test_top_k_in_small_blocks_equals_brute_force(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=24).tolist(), 0) for i in range(300)] + [(i, [0.5] * 24, 0) for i in range(300, 340)]
+    values = topk.quantised(vectors(spark, rows))
+    found = topk.top_k(values, values.where("vec_id % 20 = 0"), 7, query_block=5, row_block=37)
+    plain = [(i, np.floor(64 * np.float32(v).astype(float)).astype(np.int64)) for i, v, _ in rows]
+    assert sorted(map(tuple, found.collect())) == brute(plain, [p for p in plain if p[0] % 20 == 0], 7)
+
+
+def test_top_k_of_odd_vectors(spark):
+    rows = [
+        (0, [1.0, 2.0], 0), (0, [1.0, 2.0], 0), (1, [1.0, None], 0), (2, None, 0), (3, [float("nan"), 1.0], 0), (4, [float("inf"), 1.0], 0),
+        (5, [1.0, 2.0], 0), (6, [1.0, 2.0], 0), (None, [9.0, 9.0], 0), (7, [1.0], 0), (20, [], 0),
+    ]
+    values = topk.quantised(vectors(spark, rows))
+    found = topk.top_k(values, values.where("vec_id % 20 = 0"), 20)
+    assert sorted(map(tuple, found.collect())) == [(0, 1, 5, 64 * 64 * 5), (0, 2, 6, 64 * 64 * 5)]
+    empty = topk.quantised(vectors(spark, []))
+    assert topk.top_k(empty, empty, 20).count() == 0
+
+
+def test_bounds_hold():
+    rng = np.random.default_rng(4)
+    a, b = rng.normal(size=(50, 30)), rng.normal(size=(60, 30))
+    for segments in topk.LEVELS:
+        bounds = topk._statistics(a, segments) @ topk._statistics(b, segments).T
+        assert (bounds >= a @ b.T - 1e-9).all()
+
+
+def test_shards(spark, sf_dir):
+    rows = op6_sharding(spark, sf_dir).collect()
+    sizes = Counter(r.shard for r in rows)
+    assert sorted(sizes) == list(range(16)) and max(sizes.values()) - min(sizes.values()) <= 1
+    assert len({r.doc_id for r in rows}) == len(rows) == 200
+    for shard, n in sizes.items():
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(n))
+    ordered = [r.doc_id for r in sorted(rows, key=lambda r: (r.shard, r.slot))]
+    assert abs(np.corrcoef(ordered, range(len(ordered)))[0, 1]) < 0.3
+    again = op6_sharding(spark, sf_dir).collect()
+    assert sorted(map(tuple, again), key=str) == sorted(map(tuple, rows), key=str)
+
+
+def test_shards_of_odd_rows(spark, odd, nothing):
+    copies = odd.union(odd.where("doc_id = 3").crossJoin(spark.range(100)).drop("id")).withColumn("slot", F.lit("mine"))
+    out = sharding.shuffled_shards(copies, 4, 1, bucket_bytes=500)
+    assert out.count() == copies.count()
+    strip = lambda df: Counter((r.doc_id, r.text, r.label) for r in df.collect())
+    assert strip(out) == strip(copies)
+    sizes = [r["count"] for r in out.groupBy("shard").count().collect()]
+    assert max(sizes) - min(sizes) <= 1
+    assert sharding.shuffled_shards(nothing, 4, 1).count() == 0
+
+
+def test_no_python_on_native_paths(spark, odd):
+    pages = spark.createDataFrame([(1, "http://a.org/fr/x", "<a href='//b.net/'>b</a>")], "page_id long, url string, html string")
+    for df in (sharding.shuffled_shards(odd, 4, 1), url_filter.judge(pages, URL_RULES)):
+        plan = df._jdf.queryExecution().toString()
+        assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_running_offsets_over_several_groups(spark):
+    counts = spark.range(10_000).select("id", (F.col("id") % 3 + 1).alias("n"))
+    rows = sorted(sharding.running_offsets(counts, "id", "n", "offset").collect())
+    ends = np.cumsum([r.n for r in rows])
+    assert [r.offset for r in rows] == [0, *ends[:-1].tolist()]
+
+
+URLS = [
+    ("http://www.Example.NET/en/a", "www.example.net", "/en/a", "example.net/en/", "allow"),
+    ("https://example.net/de/?x=/en/", "example.net", "/de/", "net/", "block"),
+    ("http://notexample.net/en/", "notexample.net", "/en/", "net/", "block"),
+    ("http://example.com/de/x#y", "example.com", "/de/x", "example.com/de/", "block"),
+    ("http://a.b.org/fr/://c.net/", "a.b.org", "/fr/://c.net/", "org/fr/", "allow"),
+    ("http://org?q=/fr/", "org", "", None, "allow"),
+    ("http://x.net", "x.net", "", None, "allow"),
+    ("no scheme", "", "", None, "allow"),
+    ("", "", "", None, "allow"),
+    (None, "", "", None, "allow"),
+    ("://\nÄ.ORG/fr/\n?", "\nÄ.org", "/fr/\n", "org/fr/", "allow"),
+]
+
+
+@pytest.mark.parametrize("url,host,path,rule,verdict", URLS)
+def test_url_parts_and_rules(spark, url, host, path, rule, verdict):
+    row = spark.createDataFrame([(url,)], "url string").select(url_filter.url_host(F.col("url")).alias("host"), url_filter.url_path(F.col("url")).alias("path"))
+    found = row.withColumn("found", url_filter.matched_rule(F.col("host"), F.col("path"), URL_RULES)).first()
+    assert (found.host, found.path, found.found and found.found.rule) == (host, path, rule)
+    if rule:
+        assert found.found.verdict == verdict
+
+
+def test_trust_and_distrust_spread_over_links(spark):
+    pages = [
+        (1, "http://good.org/fr/", '<a href="http://friend.example/x">f</a> <A class=b HREF=//friend.example/y>f</a>'),
+        (2, "http://friend.example/", None),
+        (3, "http://bad.net/", "<a href='/self'>s</a>"),
+        (4, "http://linker.example/a", "<a href='http://bad.net/1'>b</a>"),
+        (4, "http://linker.example/a", "<a href='http://bad.net/1'>b</a>"),
+        (5, "http://alone.example/", '<a href="mailto:x@bad.net">m</a>'),
+        (None, None, None),
+    ]
+    rows = url_filter.judge(spark.createDataFrame(pages, "page_id long, url string, html string"), URL_RULES, threshold=0.3).collect()
+    by = {r.host: r for r in rows}
+    assert len(rows) == len(pages)
+    assert by["friend.example"].trust > 0.5 and by["friend.example"].verdict == "allow"
+    assert by["linker.example"].distrust > 0.3 and by["linker.example"].verdict == "block"
+    assert by["bad.net"].verdict == "block" and by["alone.example"].distrust == 0
+    empty = spark.createDataFrame([], "page_id long, url string, html string, host string, trust int")
+    assert url_filter.judge(empty, URL_RULES).count() == 0
+
+
+def test_scores_equal_power_iteration(spark):
+    rng = np.random.default_rng(5)
+    n = 12
+    weights = rng.random((n, n)) * (rng.random((n, n)) < 0.3) + np.eye(n) * 1e-3
+    weights /= weights.sum(axis=1, keepdims=True)
+    seed = rng.random(n) * (rng.random(n) < 0.4)
+    edges = spark.createDataFrame([(str(i), str(j), float(w)) for (i, j), w in np.ndenumerate(weights) if w], "src string, dst string, weight double")
+    seeds = spark.createDataFrame([(str(i), float(s)) for i, s in enumerate(seed)], "host string, seed double")
+    wanted = np.linalg.solve(np.eye(n) - 0.85 * weights.T, 0.15 * seed)
+    found = {r.host: r.score for r in url_filter.propagate(edges, seeds, scratch(spark), tolerance=1e-3).collect()}
+    assert max(abs(found[str(i)] - wanted[i]) for i in range(n)) < 1e-2
+
+
+def test_licence_texts_in_other_spelling(spark, odd, nothing):
+    mit = dict(reversed(licenses.KNOWN))["MIT"]
+    other = mit.replace("<year> <holders>", "2020 Someone").replace("MERCHANTABILITY", "merchantability").replace("NONINFRINGEMENT", "Non-Infringement").replace(". ", " .  ")
+    rows = [(1, other), (2, other + " and more"), (3, "text\nReleased under the MIT Licence\nlicensed under CC BY-NC 4.0!"), (3, None), (None, ""), (None, ""), (4, "Copyright 1999 me")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("license", F.lit("mine"))
+    found = {(r.doc_id, r.license, r.n_notices, r.notices, r.n_rows) for r in licenses.scan(docs, licenses.known_digests(spark)).collect()}
+    assert found == {(1, "MIT", 0, "", 1), (2, None, 0, "", 1), (3, None, 2, "CC-BY-NC-4.0,MIT", 1), (3, None, 0, "", 1), (None, None, 0, "", 2), (4, None, 0, "", 1)}
+    assert licenses.scan(odd, licenses.known_digests(spark)).agg(F.sum("n_rows")).first()[0] == odd.count()
+    assert licenses.scan(nothing, licenses.known_digests(spark)).count() == 0
