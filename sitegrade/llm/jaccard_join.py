@@ -152,8 +152,13 @@ def _candidates(classes: DataFrame, folder: str) -> DataFrame:
     bands = classes.where("n > 0").select("key", "signature").mapInArrow(buckets, "key binary, bucket long")
     hubs = bands.groupBy("bucket").agg(F.min("key").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket", "hub")
     hubs = stored(hubs, folder, "hubs")
-    stars = bands.join(hubs, "bucket").select(F.col("key").alias("a"), F.col("hub").alias("b"))
-    return components(stars, f"{folder}/candidates")
+    # A class lies in at most one bucket a band.  Joining its hubs to the smallest of them leaves a graph of hubs alone.
+    near = bands.join(hubs, "bucket").groupBy("key").agg(F.collect_set("hub").alias("hubs")).select("key", "hubs", F.array_min("hubs").alias("first"))
+    near = stored(near, folder, "near")
+    edges = near.select(F.explode("hubs").alias("a"), F.col("first").alias("b")).distinct()
+    labels = components(edges, f"{folder}/candidates")
+    named = near.select(F.col("key").alias("node"), "first").join(labels.withColumnRenamed("node", "first"), "first", "left")
+    return stored(named.select("node", F.coalesce("label", "first").alias("label")), folder, "candidate-labels")
 
 
 def _verify(docs: DataFrame, classes: DataFrame, labels: DataFrame, folder: str, threshold: float) -> DataFrame:
