@@ -56,7 +56,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 class WordHashes:
     """64-bit hashes of words; recent words are remembered, so a frequent word is hashed once."""
 
-    def __init__(self, most: int = 200_000):
+    def __init__(self, most: int = 100_000):
         self.most, self.new, self.old = most, {}, {}
 
     def __call__(self, found: list[str]) -> np.ndarray:

@@ -15,6 +15,7 @@ cut that parts good from bad best among the labelled documents.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -121,46 +122,46 @@ def _roles(labels: DataFrame, most: int) -> DataFrame:
 def _counts(texts: DataFrame) -> dict[tuple[int, str], np.ndarray]:
     """Bucket counts of each order over all texts (raw) and over the target.
 
-    Each task adds up arrays of a fixed size; arrays are added chunk by chunk,
-    first in salted groups, and what reaches the driver has a fixed size, too.
+    Each task adds up arrays of a fixed size; arrays are sent compressed, chunk
+    by chunk, and added, first in salted groups; what reaches the driver has a
+    fixed size, too.
     """
     schema = "chunk int, salt int, counts binary"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, salt = WordHashes(), 0
-        totals = np.zeros((len(ORDERS), 2, BUCKETS), dtype=np.int64)
+        totals = np.zeros((len(ORDERS), 2, BUCKETS), dtype=np.int32)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
                 fits = np.array([role == _GOOD for role in part.column(1).to_pylist()])
                 each = [_hashed(text, hashes) for text in part.column(0).to_pylist()]
                 salt = (salt + sum(len(h) for h in each)) % 64
                 for k, order in enumerate(ORDERS):
                     found = [ngrams(h, order) for h in each]
-                    totals[k, 0] += np.bincount(np.concatenate(found), minlength=BUCKETS)
+                    np.add.at(totals[k, 0], np.concatenate(found), 1)
                     if fits.any():
-                        totals[k, 1] += np.bincount(np.concatenate([f for f, fit in zip(found, fits) if fit]), minlength=BUCKETS)
+                        np.add.at(totals[k, 1], np.concatenate([f for f, fit in zip(found, fits) if fit]), 1)
         flat = totals.reshape(-1, _CHUNK)
-        some = np.flatnonzero(flat.any(axis=1))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(some, pa.int32()), pa.array(np.full(len(some), salt), pa.int32()), pa.array([flat[i].tobytes() for i in some], pa.binary())],
-            names=["chunk", "salt", "counts"],
-        )
+        for i in np.flatnonzero(flat.any(axis=1)).tolist():
+            yield row(i, salt, flat[i])
+
+    def row(chunk: int, salt: int, counts: np.ndarray) -> pa.RecordBatch:
+        packed = pa.array([zlib.compress(counts.astype(np.int64).tobytes(), 1)], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([salt], pa.int32()), packed], names=["chunk", "salt", "counts"])
 
     def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(_CHUNK, dtype=np.int64)
         for batch in batches:
             for counts in batch.column("counts"):
-                total += np.frombuffer(counts.as_buffer(), dtype=np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([key[0].as_py()], pa.int32()), pa.array([0], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["chunk", "salt", "counts"]
-        )
+                total += np.frombuffer(zlib.decompress(counts.as_buffer()), dtype=np.int64)
+        yield row(key[0].as_py(), 0, total)
 
     parts = texts.select("text", "role").mapInArrow(count, schema)
     salted = parts.groupBy("chunk", "salt").applyInArrow(add, schema)
     flat = np.zeros((len(ORDERS) * 2 * BUCKETS // _CHUNK, _CHUNK), dtype=np.int64)
     for chunk, _, counts in salted.groupBy("chunk").applyInArrow(add, schema).toLocalIterator():
-        flat[chunk] = np.frombuffer(counts, dtype=np.int64)
+        flat[chunk] = np.frombuffer(zlib.decompress(counts), dtype=np.int64)
     totals = flat.reshape(len(ORDERS), 2, BUCKETS)
     return {(order, kind): totals[k, j] for k, order in enumerate(ORDERS) for j, kind in enumerate(("raw", "target"))}
 
@@ -214,8 +215,8 @@ def select(docs: DataFrame, labels: DataFrame, folder: str | None = None, seed:
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
                 weights = [log_weight(_hashed(text, hashes), model.value, role == _GOOD) for text, role in zip(part.column(2).to_pylist(), part.column(3).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(3), pa.array(weights, pa.float64())], names=["doc", "row", "role", "log_weight"])
 
