@@ -13,7 +13,7 @@ import re
 from parity import TIE_NUDGE
 from sitegrade import fixed_values as fixed
 from sitegrade.operators import building_risk, clean, restaurant_risk
-from sitegrade.plans import star_feeds
+from parity import star_feeds
 
 AS_OF = f"DATE '{star_feeds.AS_OF}'"
 _SITE = ", ".join(restaurant_risk.SITE_KEYS)
@@ -75,7 +75,7 @@ def _evidence(total: str, failed: str, rats: str) -> str:
     return (
         f"CASE WHEN {total} = 0 THEN {fixed.NO_INSPECTION_PENALTY}"
         f" WHEN {total} <= 1 AND {rats} > 0 THEN {fixed.ONE_INSPECTION_WITH_RATS_PENALTY}"
-        f" WHEN {total} <= 2 AND {failed} + {rats} > 0 THEN {fixed.TWO_INSPECTIONS_WITH_TROUBLE_PENALTY}"
+        f" WHEN {total} <= 2 AND ({failed} > 0 OR {rats} > 0) THEN {fixed.TWO_INSPECTIONS_WITH_TROUBLE_PENALTY}"
         f" ELSE 0 END"
     )
 
@@ -252,7 +252,7 @@ FROM clean_restaurant r LEFT JOIN visit_avg_score v
   ON v.camis = r.camis AND v.inspection_date = r.inspection_date""",
     "stage_restaurant": f"""
 SELECT DISTINCT * EXCLUDE (phone, row_num) REPLACE (
-    CASE WHEN inspection_date < {AS_OF} - INTERVAL {fixed.RECENT_MONTHS} MONTH THEN 'N' ELSE 'Z' END AS grade,
+    CASE WHEN inspection_date >= {AS_OF} - INTERVAL {fixed.RECENT_MONTHS} MONTH THEN 'Z' ELSE 'N' END AS grade,
     COALESCE(grade_date, inspection_date) AS grade_date),
   {_grade('computed_score')} AS computed_grade
 FROM scored_restaurant
@@ -266,6 +266,16 @@ SELECT DISTINCT r.* REPLACE (
     COALESCE(r.latitude, c.latitude) AS latitude, COALESCE(r.longitude, c.longitude) AS longitude)
 FROM clean_rat r LEFT JOIN building_coordinates c
   ON c.bin = r.bin AND c.latitude = r.latitude AND c.longitude = r.longitude
+WHERE r.bin IS NOT NULL
+  AND r.inspection_date >= TIMESTAMP '{fixed.EARLIEST_INSPECTION}' AND r.inspection_date <= {AS_OF}""",
+    "largest_coordinates": """
+SELECT bin, CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude FROM building_coordinates
+WHERE bin IS NOT NULL QUALIFY ROW_NUMBER() OVER (PARTITION BY bin ORDER BY latitude DESC, longitude DESC) = 1""",
+    "stage_rat_by_bin": f"""
+SELECT DISTINCT r.* REPLACE (
+    CASE WHEN r.latitude IS NULL OR r.longitude IS NULL THEN COALESCE(c.latitude, r.latitude) ELSE r.latitude END AS latitude,
+    CASE WHEN r.latitude IS NULL OR r.longitude IS NULL THEN COALESCE(c.longitude, r.longitude) ELSE r.longitude END AS longitude)
+FROM clean_rat r LEFT JOIN largest_coordinates c ON c.bin = r.bin
 WHERE r.bin IS NOT NULL
   AND r.inspection_date >= TIMESTAMP '{fixed.EARLIEST_INSPECTION}' AND r.inspection_date <= {AS_OF}""",
     "mart_restaurant": "SELECT * FROM stage_restaurant WHERE inspection_date IS NOT NULL",
@@ -402,8 +412,8 @@ def _checks(chosen: dict[str, dict]) -> str:
     )
 
 
-def _check_kind(kind: str, *tables: str) -> str:
-    return _checks({t: {kind: fixed.DATA_CHECKS[t][kind]} for t in tables})
+def _check_kind(kind: str) -> str:
+    return _checks({t: {kind: kinds[kind]} for t, kinds in fixed.DATA_CHECKS.items() if kind in kinds})
 
 
 def _freshness(*sources: tuple[str, str]) -> str:
@@ -426,6 +436,10 @@ _AVERAGES = "avg_severe_vio_count_6m avg_moderate_vio_count_6m avg_score_orig_6m
 _RESTAURANT_SCORES = "restaurant_risk_score street_risk_score zip_risk_score"
 
 
+def _unwindowed(measures: str) -> str:
+    return measures.replace("_6m", "")
+
+
 def _names(p: str, names: str) -> str:
     return " ".join(f"{p}_{n}" for n in names.split())
 
@@ -441,6 +455,7 @@ _QUERIES: dict[str, str] = {
     "clean_rat": _compare("clean_rat", _PLACE),
     "stage_restaurant": _compare("stage_restaurant", f"computed_score {_PLACE}"),
     "stage_rat": _compare("stage_rat", _PLACE),
+    "stage_rat_by_bin": _compare("stage_rat_by_bin", _PLACE),
     "mart_restaurant": _compare("mart_restaurant", f"computed_score {_PLACE}"),
     "mart_rat": _compare("mart_rat", _PLACE),
     "restaurant_risk": _compare("restaurant_risk", f"{_AVERAGES} {_RESTAURANT_SCORES} {_PLACE}"),
@@ -499,10 +514,9 @@ WHERE CAST(inspection_date AS TIMESTAMP) BETWEEN TIMESTAMP '{fixed.EARLIEST_INSP
 SELECT inspection_order_id, camis, inspection_date FROM typed_restaurant
 WHERE inspection_date <> TIMESTAMP '{fixed.UNINSPECTED_SENTINEL}'""",
     "trailing_window": f"SELECT o_orderkey, o_orderdate FROM orders WHERE {_recent('o_orderdate')}",
-    "inspection_type_counts": f"SELECT bin, {_KINDS} FROM clean_rat GROUP BY bin",
-    "outcome_counts": f"""SELECT * REPLACE ({_six('failure_rate_6m')} AS failure_rate_6m,
-  {_six('rat_activity_rate_6m')} AS rat_activity_rate_6m)
-FROM (SELECT bin, {_OUTCOMES}, {_RATES} FROM clean_rat GROUP BY bin)""",
+    "inspection_type_counts": f"SELECT bin, {_unwindowed(_KINDS)} FROM clean_rat GROUP BY bin",
+    "outcome_counts": f"""SELECT * REPLACE ({_six('failure_rate')} AS failure_rate, {_six('rat_activity_rate')} AS rat_activity_rate)
+FROM (SELECT bin, {_unwindowed(_OUTCOMES)}, {_unwindowed(_RATES)} FROM clean_rat GROUP BY bin)""",
     "top_risk_restaurants": _compare("restaurant_risk", f"{_AVERAGES} {_RESTAURANT_SCORES} {_PLACE}")
     + " ORDER BY restaurant_risk_score DESC NULLS LAST",
     "top_risk_buildings": _compare("rat_risk", f"bin_rr_score street_rr_score zip_rr_score {_PLACE}")
@@ -512,7 +526,7 @@ SELECT l_orderkey, {_six('mean')} AS mean, {_grade('mean')} AS grade
 FROM (SELECT l_orderkey, AVG(CASE WHEN l_orderkey % 97 <> 0 THEN l_quantity - 5 END) AS mean
       FROM lineitem GROUP BY l_orderkey)""",
     "recency_flag": f"""
-SELECT o_orderkey, CASE WHEN o_orderdate < {AS_OF} - INTERVAL {fixed.RECENT_MONTHS} MONTH THEN 'N' ELSE 'Z' END AS grade
+SELECT o_orderkey, CASE WHEN o_orderdate >= {AS_OF} - INTERVAL {fixed.RECENT_MONTHS} MONTH THEN 'Z' ELSE 'N' END AS grade
 FROM orders""",
     "recency_penalty": f"""
 SELECT o_orderkey, {_six(_restaurant_penalty('o_orderdate'))} AS penalty FROM orders""",
@@ -533,13 +547,13 @@ FROM (SELECT bin, inspection_date, {_OUTCOMES} FROM clean_rat GROUP BY bin, insp
     "rat_zip_score": f"SELECT zipcode, {_six(_RAT_ZIP_SCORE)} AS zip_rr_score FROM rat_zip_stats",
     "combined_score": f"SELECT camis, dba, bin, {_six('rat_risk_score')} AS rat_risk_score FROM risk_model",
     "risk_category_counts": 'SELECT risk_category, COUNT(*) AS "rows" FROM risk_model GROUP BY risk_category',
-    "dq_not_null": _check_kind("not_null", "raw_restaurant", "raw_rat", "clean_restaurant", "clean_rat"),
-    "dq_accepted_values": _check_kind("accepted_values", "raw_restaurant", "clean_rat", "stage_restaurant"),
-    "dq_accepted_range": _check_kind("accepted_range", "clean_restaurant", "stage_restaurant"),
-    "dq_unique": _check_kind("unique", "risk_model"),
-    "dq_row_count": _check_kind("row_count", "risk_model"),
+    "dq_not_null": _check_kind("not_null"),
+    "dq_accepted_values": _check_kind("accepted_values"),
+    "dq_accepted_range": _check_kind("accepted_range"),
+    "dq_unique": _check_kind("unique"),
+    "dq_row_count": _check_kind("row_count"),
     "dq_freshness": _freshness(
-        ("clean_rat", "extract_date"), ("clean_rat", "inspection_date"), ("clean_rat", "approved_date"),
+        ("clean_restaurant", "extract_date"), ("clean_rat", "extract_date"), ("clean_rat", "inspection_date"), ("clean_rat", "approved_date"),
         ("orders", "o_orderdate"), ("events", "ts"),
     ),
     "dq_report": _checks(fixed.DATA_CHECKS),

@@ -3,23 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from parity import TIE_NUDGE
+from parity import TIE_NUDGE, star_feeds
 from sitegrade import fixed_values as fixed
 from sitegrade.functions import dates, scoring
 from sitegrade.functions.casts import to_coordinate, to_double, to_int, to_long, to_timestamp
 from sitegrade.functions.keys import hash_key
 from sitegrade.operators import building_risk, clean, combined_risk, quality, restaurant_risk, stage
-from sitegrade.plans import pipeline, star_feeds
+from sitegrade.plans import pipeline
 from sitegrade.session import configure, scratch_root
 from sitegrade.sources.sinks import TableStore, serving_cast, serving_clean
 
 AS_OF = star_feeds.AS_OF
 
+# What the scores read of the clean table.
+SCORED_COLUMNS = [
+    *restaurant_risk.SITE_KEYS, "inspection_date", "critical_flag", "violation_code", "score", "latitude", "longitude", "extract_date",
+]
+
 
 class Layers:
     """The models over one folder of test tables, each built on first use.
@@ -31,7 +35,10 @@ class Layers:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = configure(spark), sf_dir
-        self.store = TableStore(scratch_root(spark))
+
+    @cached_property
+    def store(self) -> TableStore:
+        return TableStore(scratch_root(self.spark))
 
     def table(self, name: str) -> DataFrame:
         return star_feeds.table(self.spark, self.sf_dir, name)
@@ -82,23 +89,19 @@ class Layers:
 
     @cached_property
     def restaurant_risk(self) -> DataFrame:
-        cleaned = self.store.save(self.clean_restaurant, "clean", "clean_restaurant_inspection")
-        mart = stage.mart_restaurant(stage.stage_restaurant(cleaned, AS_OF))
-        stored = pipeline.restaurant_summary(mart, self.store, AS_OF)
-        return restaurant_risk.restaurant_risk(stored, AS_OF)
+        cleaned = self.store.save(self.clean_restaurant.select(*SCORED_COLUMNS), "clean", "scored_columns")
+        staged = stage.attach_visit_score(cleaned, self.store.save(stage.visit_avg_score(cleaned), "stage", "visit_avg_score"))
+        mart = stage.mart_restaurant(stage.graded(stage.real_visits(staged), AS_OF))
+        return pipeline.restaurant_scores(mart, self.store, AS_OF)
 
     @cached_property
     def rat_risk(self) -> DataFrame:
-        stored = pipeline.building_summary(self.mart_rat, self.store, AS_OF)
-        return building_risk.rat_risk(stored, AS_OF)
+        return pipeline.rat_scores(self.mart_rat, self.store, AS_OF)
 
     @cached_property
     def risk_model(self) -> DataFrame:
         """Both sides store tables on the way, so they are built side by side."""
-        with ThreadPoolExecutor(max_workers=2) as sides:
-            restaurants = sides.submit(lambda: self.restaurant_risk)
-            rats = sides.submit(lambda: self.rat_risk)
-            return combined_risk.risk_model(restaurants.result(), rats.result())
+        return combined_risk.risk_model(*pipeline.side_by_side([lambda: self.restaurant_risk, lambda: self.rat_risk]))
 
     @cached_property
     def stored(self) -> pipeline.Tables:
@@ -202,12 +205,15 @@ def _trailing_window(layers: Layers) -> DataFrame:
 
 
 def _per_bin(layers: Layers, *measure_sets) -> DataFrame:
-    measures = {name: col for measures in measure_sets for name, col in measures.items()}
+    # These counts have no window.
+    measures = {name.removesuffix("_6m"): col for measures in measure_sets for name, col in measures.items()}
     return layers.clean_rat.groupBy("bin").agg(*[col.alias(name) for name, col in measures.items()])
 
 
 def _visit_score(layers: Layers) -> DataFrame:
-    return stage.attach_visit_score(layers.clean_restaurant).select(
+    cleaned = layers.store.save(layers.clean_restaurant.select("inspection_order_id", "camis", "inspection_date", "score"), "clean", "scores")
+    averages = layers.store.save(stage.visit_avg_score(cleaned), "stage", "visit_avg_score")
+    return stage.attach_visit_score(cleaned, averages).select(
         "inspection_order_id", "camis", "inspection_date", "score", "computed_score"
     )
 
@@ -296,14 +302,24 @@ def _serving_clean(layers: Layers) -> DataFrame:
     return serving_clean(delivered)
 
 
-def _checks(layers: Layers, kind: str, *tables: str) -> DataFrame:
-    frames = {name: getattr(layers, name) for name in tables}
-    chosen = {name: {kind: fixed.DATA_CHECKS[name][kind]} for name in tables}
-    return quality.check_tables(frames, chosen)
+def _checked_tables(layers: Layers) -> dict[str, DataFrame]:
+    return {"raw_restaurant": layers.raw_restaurant, "raw_rat": layers.raw_rat, **layers.stored.as_dict()}
+
+
+def _checks(layers: Layers, kind: str) -> DataFrame:
+    """All checks of a kind, over all tables that have any."""
+    chosen = {name: {kind: kinds[kind]} for name, kinds in fixed.DATA_CHECKS.items() if kind in kinds}
+    return quality.check_tables(_checked_tables(layers), chosen)
+
+
+def _stage_rat_by_bin(layers: Layers) -> DataFrame:
+    coordinates = layers.store.save(stage.largest_coordinates(layers.clean_restaurant), "stage", "building_coordinates")
+    return stage.stage_rat(layers.clean_rat, AS_OF, "by_bin", coordinates)
 
 
 def _freshness(layers: Layers) -> DataFrame:
     reports = [
+        quality.freshness(layers.clean_restaurant, "clean_restaurant", as_of=AS_OF),
         quality.freshness(layers.clean_rat, "clean_rat", as_of=AS_OF),
         quality.freshness(layers.clean_rat, "clean_rat", "inspection_date", AS_OF),
         quality.freshness(layers.clean_rat, "clean_rat", "approved_date", AS_OF),
@@ -314,8 +330,7 @@ def _freshness(layers: Layers) -> DataFrame:
 
 
 def _report(layers: Layers) -> DataFrame:
-    feeds = {"raw_restaurant": layers.raw_restaurant, "raw_rat": layers.raw_rat}
-    return quality.check_tables({**feeds, **layers.stored.as_dict()})
+    return quality.check_tables(_checked_tables(layers))
 
 
 _QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
@@ -324,6 +339,7 @@ _QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "clean_rat": lambda x: x.clean_rat,
     "stage_restaurant": lambda x: x.stage_restaurant,
     "stage_rat": lambda x: x.stage_rat,
+    "stage_rat_by_bin": _stage_rat_by_bin,
     "mart_restaurant": lambda x: serving_cast(x.mart_restaurant, "mart_restaurant_inspection"),
     "mart_rat": lambda x: serving_cast(x.mart_rat, "mart_rat_inspection"),
     "restaurant_risk": lambda x: x.restaurant_risk,
@@ -380,11 +396,11 @@ _QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "combined_score": lambda x: x.risk_model.select("camis", "dba", "bin", "rat_risk_score"),
     "risk_category_counts": lambda x: combined_risk.risk_category_counts(x.risk_model),
     # data checks
-    "dq_not_null": lambda x: _checks(x, "not_null", "raw_restaurant", "raw_rat", "clean_restaurant", "clean_rat"),
-    "dq_accepted_values": lambda x: _checks(x, "accepted_values", "raw_restaurant", "clean_rat", "stage_restaurant"),
-    "dq_accepted_range": lambda x: _checks(x, "accepted_range", "clean_restaurant", "stage_restaurant"),
-    "dq_unique": lambda x: _checks(x, "unique", "risk_model"),
-    "dq_row_count": lambda x: _checks(x, "row_count", "risk_model"),
+    "dq_not_null": lambda x: _checks(x, "not_null"),
+    "dq_accepted_values": lambda x: _checks(x, "accepted_values"),
+    "dq_accepted_range": lambda x: _checks(x, "accepted_range"),
+    "dq_unique": lambda x: _checks(x, "unique"),
+    "dq_row_count": lambda x: _checks(x, "row_count"),
     "dq_freshness": _freshness,
     "dq_report": _report,
 }

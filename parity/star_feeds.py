@@ -71,25 +71,16 @@ SELECT
 FROM {events}
 """
 
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, *unique_key: str) -> DataFrame:
-    """Use every core for the row-wise work above a scan of few row groups.
-
-    Only a scan with fewer splits than the session has cores is shuffled, on a
-    unique key and before the columns multiply; a large input never is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *unique_key) if df.rdd.getNumPartitions() < cores else df
-
-
 def raw_restaurant(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {name: table(spark, sf_dir, name) for name in ("orders", "customer", "nation", "region")}
-    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+    lines = table(spark, sf_dir, "lineitem").repartition("l_orderkey")  # the order join's own partitioning
     return spark.sql(RAW_RESTAURANT_SQL, lineitem=lines, **tables)
 
 
 def raw_rat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(RAW_RAT_SQL, events=spread(table(spark, sf_dir, "events"), "event_id"))
+    return spark.sql(RAW_RAT_SQL, events=table(spark, sf_dir, "events"))

@@ -8,21 +8,20 @@ from __future__ import annotations
 
 # ---------------------------------------------------------------- raw feeds
 
-RESTAURANT_FEED_COLUMNS = """
-camis dba boro building street zipcode phone inspection_date critical_flag
-record_date bin bbl nta cuisine_description action violation_code
-violation_description score grade grade_date latitude longitude
-inspection_type
-""".split()
-
-RAT_FEED_COLUMNS = """
-inspection_type job_ticket_or_work_order_id job_id job_progress bbl boro_code
-block lot house_number street_name zip_code x_coord y_coord latitude longitude
-borough inspection_date result approved_date location community_board
-council_district census_tract bin nta :@computed_region_92fq_4b7q
-:@computed_region_f5dn_yrer :@computed_region_yeji_bk3q
-:@computed_region_efsh_h5xi :@computed_region_sbqj_enih
-""".split()
+RESTAURANT_FEED_COLUMNS = [
+    "camis", "dba", "boro", "building", "street", "zipcode", "phone", "inspection_date", "critical_flag",
+    "record_date", "bin", "bbl", "nta", "cuisine_description", "action", "violation_code",
+    "violation_description", "score", "grade", "grade_date", "latitude", "longitude", "inspection_type",
+]
+
+RAT_FEED_COLUMNS = [
+    "inspection_type", "job_ticket_or_work_order_id", "job_id", "job_progress", "bbl", "boro_code", "block",
+    "lot", "house_number", "street_name", "zip_code", "x_coord", "y_coord", "latitude", "longitude",
+    "borough", "inspection_date", "result", "approved_date", "location", "community_board",
+    "council_district", "census_tract", "bin", "nta", ":@computed_region_92fq_4b7q",
+    ":@computed_region_f5dn_yrer", ":@computed_region_yeji_bk3q", ":@computed_region_efsh_h5xi",
+    ":@computed_region_sbqj_enih",
+]
 
 # The one feed column that is not a string.
 RAT_FEED_STRUCTS = {"location": ["human_address", "latitude", "longitude"]}
@@ -60,16 +59,15 @@ risk_category string, extract_date date
 
 # ------------------------------------------------------------- category sets
 
-SEVERE_CODES = """
-04A 04B 04C 04D 04E 04F 04H 04I 04J 04K 04L 04M 04N 04O 04P
-05A 05B 05C 05D 05E
-""".split()
+SEVERE_CODES = [
+    "04A", "04B", "04C", "04D", "04E", "04F", "04H", "04I", "04J", "04K", "04L", "04M", "04N", "04O", "04P",
+    "05A", "05B", "05C", "05D", "05E",
+]
 
-MODERATE_CODES = """
-02A 02B 02C 02D 02E 02F 02G 02H 02I 02J
-05F 05H 05I
-06A 06B 06C 06D 06E 06F 06G 06H 06I
-""".split()
+MODERATE_CODES = [
+    "02A", "02B", "02C", "02D", "02E", "02F", "02G", "02H", "02I", "02J", "05F", "05H", "05I", "06A", "06B",
+    "06C", "06D", "06E", "06F", "06G", "06H", "06I",
+]
 
 BOROUGHS = ["BRONX", "BROOKLYN", "MANHATTAN", "QUEENS", "STATEN ISLAND"]
 RESULTS = ["PASSED", "FAILED", "FAILED FOR OTHER R", "RAT ACTIVITY"]
@@ -194,6 +192,7 @@ DATA_CHECKS = {
 # Days of age after which a feed is late: (warn, error), and its load column.
 FRESHNESS_DAYS = (1, 3)
 FRESHNESS_COLUMN = "extract_date"
+FRESHNESS_FEEDS = {"clean_restaurant": "extract_date", "clean_rat": "extract_date"}
 
 # ------------------------------------------------------------------- serving
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 AsOf = str | dt.date | Column | None
 
@@ -16,6 +16,11 @@ def as_of_date(as_of: AsOf) -> Column:
     return (as_of if isinstance(as_of, Column) else F.lit(str(as_of))).cast("date")
 
 
+def resolved(spark: SparkSession, as_of: AsOf) -> AsOf:
+    """``None`` settled as today's date, so that all jobs of a run take the same day."""
+    return spark.range(1).select(F.current_date()).first()[0] if as_of is None else as_of
+
+
 def as_of_midnight(as_of: AsOf) -> Column:
     return as_of_date(as_of).cast("timestamp_ntz")
 

@@ -137,14 +137,24 @@ def rat_zip_score() -> Column:
     return rat_area_score("zip", "buildings_in_zip", fixed.ZIP_BUILDING_BANDS)
 
 
-def rat_risk(stats: DataFrame, as_of: AsOf = None) -> DataFrame:
+def rat_street_scores(stats: DataFrame) -> DataFrame:
+    return rat_street_stats(stats).select("street", rat_street_score().alias("street_rr_score"))
+
+
+def rat_zip_scores(stats: DataFrame) -> DataFrame:
+    return rat_zip_stats(stats).select("zipcode", rat_zip_score().alias("zip_rr_score"))
+
+
+def rat_risk(
+    stats: DataFrame, as_of: AsOf = None, streets: DataFrame | None = None, zips: DataFrame | None = None
+) -> DataFrame:
     """Three scores per building description from its :func:`building_stats_6m` row.
 
-    Reads ``stats`` three times; the joins are unhinted for the same reason as
-    on the restaurant side.
+    Reads ``stats`` three times; stored area scores are joined without a hint
+    for the same reason as on the restaurant side.
     """
-    streets = rat_street_stats(stats).select("street", rat_street_score().alias("street_rr_score"))
-    zips = rat_zip_stats(stats).select("zipcode", rat_zip_score().alias("zip_rr_score"))
+    streets = rat_street_scores(stats) if streets is None else streets
+    zips = rat_zip_scores(stats) if zips is None else zips
     return (
         stats.join(streets.where(F.col("street").isNotNull()), "street", "left")
         .join(zips.where(F.col("zipcode").isNotNull()), "zipcode", "left")

@@ -36,25 +36,17 @@ def moderate_violations(mart: DataFrame) -> DataFrame:
     return violation_counts(mart).drop("severe_vio_count")
 
 
-def visit_stats(mart: DataFrame) -> DataFrame:
-    """One row per visit and site description, with the visit's worst variant counts.
-
-    A visit recorded under k variants (name or building spelled differently)
-    pairs every row with k severe and k moderate counts.  Instead of producing
-    those k * k copies, the maxima and k are aggregated per visit first; only
-    ``total_critical_count`` depends on the copies and is multiplied.  Rows
-    without an establishment belong to no visit.
+def site_visits(mart: DataFrame) -> DataFrame:
+    """All that the half-year summary needs of the mart, one row per visit and site description.
 
     Grades are single letters; their maximum is taken over character codes,
     because Spark aggregates numbers by hashing but text only after a sort.
+    Rows without an establishment belong to no visit.
     """
     known = mart.where(F.col("camis").isNotNull() & F.col("inspection_date").isNotNull())
-    visits = violation_counts(known).groupBy("camis", "inspection_date").agg(
-        F.max("severe_vio_count").alias("severe_vio_count"),
-        F.max("moderate_vio_count").alias("moderate_vio_count"),
-        F.count(F.lit(1)).alias("_variants"),
-    )
-    described = known.groupBy(*SITE_KEYS, "inspection_date").agg(
+    return known.groupBy(*SITE_KEYS, "inspection_date").agg(
+        _count_codes(fixed.SEVERE_CODES).alias("_severe"),
+        _count_codes(fixed.MODERATE_CODES).alias("_moderate"),
         F.count_if(F.col("critical_flag") == "CRITICAL").alias("_critical_rows"),
         F.avg("computed_score").alias("avg_computed_score"),
         F.max(F.ascii("computed_grade")).alias("_grade_code"),
@@ -62,6 +54,29 @@ def visit_stats(mart: DataFrame) -> DataFrame:
         F.max("longitude").alias("longitude"),
         F.max("extract_date").alias("extract_date"),
     )
+
+
+def visit_stats(mart: DataFrame, sites: DataFrame | None = None) -> DataFrame:
+    """One row per visit and site description, with the visit's worst variant counts.
+
+    A visit recorded under k variants (name or building spelled differently)
+    pairs every row with k severe and k moderate counts.  Instead of producing
+    those k * k copies, the maxima and k are aggregated per visit first; only
+    ``total_critical_count`` depends on the copies and is multiplied.
+
+    A variant's counts are the sums over its site descriptions, so the mart is
+    only read for ``sites``, its :func:`site_visits`; stored, they make one scan
+    of the mart and a join that can split a hot visit.
+    """
+    described = site_visits(mart) if sites is None else sites
+    variants = described.groupBy(*VISIT_VARIANT_KEYS).agg(
+        F.sum("_severe").alias("severe_vio_count"), F.sum("_moderate").alias("moderate_vio_count")
+    )
+    visits = variants.groupBy("camis", "inspection_date").agg(
+        F.max("severe_vio_count").alias("severe_vio_count"),
+        F.max("moderate_vio_count").alias("moderate_vio_count"),
+        F.count(F.lit(1)).alias("_variants"),
+    )
     return described.join(visits, ["camis", "inspection_date"]).select(
         *SITE_KEYS,
         "inspection_date",
@@ -164,21 +179,30 @@ def restaurant_area_score(prefix: str) -> Column:
     )
 
 
-def restaurant_risk(stats: DataFrame, as_of: AsOf = None) -> DataFrame:
+def restaurant_street_scores(stats: DataFrame) -> DataFrame:
+    return restaurant_street_stats(stats).select(
+        "street", restaurant_area_score("street").alias("street_risk_score")
+    )
+
+
+def restaurant_zip_scores(stats: DataFrame) -> DataFrame:
+    return restaurant_zip_stats(stats).select("zipcode", restaurant_area_score("zip").alias("zip_risk_score"))
+
+
+def restaurant_risk(
+    stats: DataFrame, as_of: AsOf = None, streets: DataFrame | None = None, zips: DataFrame | None = None
+) -> DataFrame:
     """Three scores per establishment from its :func:`restaurant_stats_6m` row.
 
     ``stats`` is read three times (rows, streets, areas): pass a materialised
-    table.  Area sizes are unknown, so the joins carry no broadcast hint; Spark
-    broadcasts a roll-up whose size it has measured to be small and otherwise
-    sort-merges with skew splitting.  An establishment without a street or
+    table, and the stored street and postal scores with it.  Area sizes are
+    unknown, so the joins carry no broadcast hint; Spark broadcasts a stored
+    roll-up whose size it has measured to be small and otherwise sort-merges,
+    splitting a popular or missing area.  An establishment without a street or
     postal code matches none and its area terms count 0.
     """
-    streets = restaurant_street_stats(stats).select(
-        "street", restaurant_area_score("street").alias("street_risk_score")
-    )
-    zips = restaurant_zip_stats(stats).select(
-        "zipcode", restaurant_area_score("zip").alias("zip_risk_score")
-    )
+    streets = restaurant_street_scores(stats) if streets is None else streets
+    zips = restaurant_zip_scores(stats) if zips is None else zips
     return (
         stats.join(streets.where(F.col("street").isNotNull()), "street", "left")
         .join(zips.where(F.col("zipcode").isNotNull()), "zipcode", "left")

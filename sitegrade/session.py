@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -13,6 +12,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join even where that costs the next operator a shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Text that is no number fails; days begin at midnight UTC wherever the cluster stands.
+    "spark.sql.ansi.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
 }
 
 
@@ -23,14 +25,17 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """A new folder under the cluster's shared checkpoint folder.
+    """A new folder under the shared checkpoint folder, removed when the driver's JVM ends.
 
-    A temporary folder of this machine serves only a local session that names
-    no checkpoint folder.
+    The folder is the one that ``spark.checkpoint.dir`` or ``setCheckpointDir``
+    names; where neither does, one beside the warehouse's tables is set.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor reaches")
-        shared = tempfile.mkdtemp(prefix="sitegrade-")
-    return f"{shared.rstrip('/')}/sitegrade-{uuid.uuid4().hex}"
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints")
+        shared = spark.sparkContext.getCheckpointDir()
+    folder = f"{shared.rstrip('/')}/sitegrade-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder

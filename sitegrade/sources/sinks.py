@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -31,14 +31,20 @@ class TableStore:
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
-    def save(self, df: DataFrame, layer: str, table: str) -> DataFrame:
+    def save(self, df: DataFrame, layer: str, table: str, folders: str | None = None, spread: Sequence[str] = ()) -> DataFrame:
         """Replace the table and return a scan of it.
 
         The scan has no lineage behind it, so a lost executor costs a re-read
         and not a re-run, and its file sizes tell Spark which joins may
-        broadcast.
+        broadcast.  With ``folders``, each value of that column has a folder of
+        its own, which a filter on the column leaves out whole; a large one is
+        dealt to several tasks by ranges of the ``spread`` columns.  The table
+        is replaced in place: do not read it while a run replaces it.
         """
-        df.write.mode("overwrite").parquet(self.path(layer, table))
+        if folders:
+            df = df.repartitionByRange(folders, *spread)
+        writer = df.write.mode("overwrite")
+        (writer.partitionBy(folders) if folders else writer).parquet(self.path(layer, table))
         return self.read(df.sparkSession, layer, table, df.schema)
 
     def read(
@@ -52,13 +58,17 @@ def export_path(root: str, warehouse: str, schema: str, date: str, table: str) -
     return f"{root.rstrip('/')}/{warehouse}/{schema}/{date}/{table}.parquet"
 
 
-def export_mart(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Write a mart to a dated parquet dataset.
+def export_mart(df: DataFrame, path: str) -> None:
+    """Write a mart to a dated parquet dataset."""
+    df.write.mode("overwrite").parquet(path)
 
-    ``single_file`` funnels the whole mart through one task; leave it off unless
-    the mart is known to be small.
-    """
-    (df.coalesce(1) if single_file else df).write.mode("overwrite").parquet(path)
+
+def export_marts(marts: Mapping[str, DataFrame], root: str, warehouse: str, schema: str, date: str) -> dict[str, str]:
+    """Export every serving table; says where each lies."""
+    paths = {table: export_path(root, warehouse, schema, date, table) for table in SERVING_TABLES}
+    for table, path in paths.items():
+        export_mart(marts[table], path)
+    return paths
 
 
 def serving_clean(df: DataFrame) -> DataFrame:
@@ -79,31 +89,12 @@ def serving_cast(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in serving_schema(table).fields])
 
 
-_JDBC_TYPES = {
-    T.StringType: "VARCHAR",
-    T.IntegerType: "INTEGER",
-    T.LongType: "BIGINT",
-    T.DoubleType: "DOUBLE PRECISION",
-    T.TimestampNTZType: "TIMESTAMP",
-    T.DateType: "DATE",
-}
-
-
-def jdbc_column_types(table: str) -> str:
-    """Column types for a table that Spark has to create."""
-    def sql_type(data_type: T.DataType) -> str:
-        if isinstance(data_type, T.DecimalType):
-            return f"DECIMAL({data_type.precision},{data_type.scale})"
-        return _JDBC_TYPES[type(data_type)]
-
-    return ", ".join(f"{f.name} {sql_type(f.dataType)}" for f in serving_schema(table).fields)
-
-
 def jdbc_options(url: str, table: str, schema: str = "public", connections: int = 16) -> dict[str, str]:
     """Truncate and reload in batches; an existing table keeps its definition.
 
-    Every task writes its own partition; ``connections`` bounds how many do so
-    at once.
+    A missing table is created with the database's default types for the serving
+    schema's columns.  Every task writes its own partition; ``connections``
+    bounds how many do so at once.
     """
     return {
         "url": url,
@@ -111,7 +102,6 @@ def jdbc_options(url: str, table: str, schema: str = "public", connections: int
         "truncate": "true",
         "batchsize": str(fixed.SERVING_BATCH_ROWS),
         "numPartitions": str(connections),
-        "createTableColumnTypes": jdbc_column_types(table),
     }
 
 
@@ -122,11 +112,22 @@ def write_serving(df: DataFrame, url: str, table: str, properties: Mapping[str,
     ready.write.format("jdbc").mode("overwrite").options(**options).save()
 
 
+class LoadFailed(RuntimeError):
+    """Some serving tables were not loaded; ``outcome`` says what became of each."""
+
+    def __init__(self, outcome: Mapping[str, str]):
+        super().__init__(", ".join(f"{table}: {what}" for table, what in outcome.items() if what != "loaded"))
+        self.outcome = dict(outcome)
+
+
 def load_marts(
     marts: Mapping[str, DataFrame], write: Callable[[DataFrame, str], None]
 ) -> dict[str, str]:
-    """Load the serving tables that exist; say for each ``loaded``, ``missing`` or why it failed."""
-    outcome = {}
+    """Load all serving tables; one bad table does not keep the others from loading.
+
+    Raises :class:`LoadFailed` at the end unless every table is ``loaded``.
+    """
+    outcome, cause = {}, None
     for table in SERVING_TABLES:
         if table not in marts:
             outcome[table] = "missing"
@@ -134,6 +135,8 @@ def load_marts(
         try:
             write(marts[table], table)
             outcome[table] = "loaded"
-        except Exception as error:  # one bad table must not keep the others from loading
-            outcome[table] = f"failed: {error}"
+        except Exception as error:
+            outcome[table], cause = f"failed: {error}", error
+    if set(outcome.values()) != {"loaded"}:
+        raise LoadFailed(outcome) from cause
     return outcome

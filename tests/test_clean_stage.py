@@ -134,7 +134,7 @@ def test_building_coordinates_are_distinct_and_known(spark):
 
 
 def test_row_counts_never_grow(spark, sf_dir):
-    from sitegrade.plans import star_feeds
+    from parity import star_feeds
 
     raw = star_feeds.raw_restaurant(spark, sf_dir)
     cleaned = clean.clean_restaurant(raw, star_feeds.AS_OF)
@@ -151,3 +151,18 @@ def test_latest_per_key_matches_brute_force(spark):
     for row in rows:
         best[row[0]] = max(best.get(row[0], row), row, key=lambda r: r[1:])
     assert values(latest_per_key(df, ["k"], ["a", "b"], ["id"]), "k", "a", "b", "id") == sorted(best.values(), key=repr)
+
+
+def test_coordinates_filled_by_building(spark):
+    known = spark.createDataFrame(
+        [(1, 40.5, -73.5), (1, 40.6, -73.9), (1, 40.6, -73.4), (2, None, -73.0), (None, 41.0, -70.0)], "bin int, latitude double, longitude double"
+    )
+    rats = clean.clean_rat(
+        inspections(spark, {"bin": "1", "job_ticket_or_work_order_id": "1", "latitude": None}, {"bin": "2", "job_ticket_or_work_order_id": "2", "latitude": None},
+                    {"bin": "1", "job_ticket_or_work_order_id": "3"}), AS_OF)
+    filled = stage.stage_rat(rats, AS_OF, "by_bin", stage.largest_coordinates(known))
+    assert filled.columns == stage.stage_rat(rats, AS_OF).columns
+    assert values(filled, "work_order_id", "latitude", "longitude") == [(1, 40.6, -73.4), (2, None, -73.5), (3, 40.5, -73.5)]
+    assert values(stage.stage_rat(rats, AS_OF), "work_order_id", "latitude") == [(1, None), (2, None), (3, 40.5)]
+    with pytest.raises(ValueError):
+        stage.stage_rat(rats, AS_OF, "nearest")

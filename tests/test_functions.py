@@ -31,6 +31,23 @@ def test_bad_text_fails_or_is_null(spark, cast):
         assert one(spark, cast(F.lit(text), strict=False)) is None
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("cast", [to_int, to_long, to_double, to_timestamp, to_coordinate])
+def test_strict_does_not_depend_on_the_session(spark, cast, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="not a value"):
+            one(spark, cast(F.lit("abc")))
+        assert one(spark, cast(F.lit(None).cast("string"))) is None
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_session_settings(spark):
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC" and spark.conf.get("spark.sql.ansi.enabled") == "true"
+
+
 def test_to_long_is_exact(spark):
     texts = ["9007199254740993", "1e2", "3000000000"]
     assert apply(spark, texts, "string", to_long) == [9007199254740993, 100, 3000000000]

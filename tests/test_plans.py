@@ -1,5 +1,6 @@
 """Physical plans: what must be pruned, pushed, split or absent at scale."""
 
+import contextlib
 import re
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from parity.spark_queries import Layers, registry
 from rows import AS_OF, inspections, values, violations
+from sitegrade.functions import dates
 from sitegrade.operators import building_risk, clean, restaurant_risk, stage
 from sitegrade.plans import pipeline
 from sitegrade.sources.sinks import TableStore
@@ -44,7 +46,7 @@ def test_no_python_no_products_no_whole_sorts(spark, layers):
 
 def test_stage_shuffles_the_deduped_rows_once(layers):
     """Rows and visit means share one dedupe exchange."""
-    assert "ReusedExchange" in final_plan(layers.stage_restaurant)
+    assert "ReusedExchange" in final_plan(stage.stage_restaurant(layers.clean_restaurant, "2001-07-01"))
 
 
 @pytest.fixture(scope="module")
@@ -64,6 +66,51 @@ def test_half_year_reaches_both_scans_of_the_mart(stored):
     assert not any("violation_description" in s or "action" in s for s in schemas)
 
 
+def test_stored_sites_read_the_mart_once(stored):
+    tables, store = stored
+    sites = restaurant_risk.site_visits(tables.mart_restaurant)
+    assert plan(sites).count("FileScan parquet") == 1 and final_plan(sites).count("Exchange hashpartitioning") == 1
+    kept = store.save(sites, "test", "sites")
+    text = plan(restaurant_risk.visit_stats(tables.mart_restaurant, kept))
+    assert text.count("test/sites") == text.count("FileScan parquet") == 2
+    lazy = restaurant_risk.visit_stats(tables.mart_restaurant)
+    assert lazy.exceptAll(restaurant_risk.visit_stats(tables.mart_restaurant, kept)).isEmpty()
+
+
+def scanned(df):
+    """Files and rows that the scan of a query reads."""
+    execution = df._jdf.queryExecution()
+    execution.toRdd().count()
+    metrics = execution.executedPlan().collectLeaves().apply(0).metrics()
+    return [metrics.get(name).get().value() for name in ("numFiles", "numOutputRows")]
+
+
+def test_half_year_leaves_out_files(spark, sf_dir, tmp_path):
+    layers, store = Layers(spark, sf_dir), TableStore(str(tmp_path))
+    restaurants = pipeline.save_by_month(layers.mart_restaurant, store, "restaurants", "inspection_order_id")
+    rats = pipeline.save_by_month(layers.mart_rat, store, "rats", "work_order_id")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for mart, as_of, share in ((restaurants, "2001-07-01", 0.2), (rats, "2001-10-01", 0.6)):
+            recent = pipeline.recent_rows(mart, as_of).select("bin", "inspection_date")
+            files, rows = scanned(recent)
+            assert 0 < recent.count() <= rows < share * mart.count()
+            assert files < len(mart.inputFiles())
+            assert recent.count() == mart.where(dates.within_trailing_months(F.col("inspection_date"), as_of, 6)).count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_one_day_for_a_run(spark, tmp_path):
+    tables = pipeline.run(violations(spark, {}), inspections(spark, {}), TableStore(str(tmp_path)))
+    today = spark.range(1).select(F.current_date()).first()[0]
+    frames = (tables.clean_restaurant, tables.clean_rat, tables.mart_restaurant)
+    days = {r.extract_date for t in frames for r in t.select("extract_date").collect()}
+    assert days <= {today} and tables.clean_restaurant.count() == 1
+    text = plan(clean.clean_rat(inspections(spark, {}), today))
+    assert "current_date" not in text
+
+
 def test_building_summary_reads_only_its_columns(stored):
     tables, _ = stored
     text = plan(building_risk.building_stats_6m(tables.mart_rat, "2001-07-01"))
@@ -91,8 +138,9 @@ def test_pipeline_is_a_full_refresh(spark, tmp_path):
     assert set(tables.serving()) == {"mart_rat_inspection", "mart_rat_risk_model", "mart_restaurant_inspection"}
 
 
-def test_hot_visit_is_split_by_the_join(spark):
-    """A third of the rows on one visit: the join's hot partition is cut into several tasks."""
+@contextlib.contextmanager
+def splitting(spark):
+    """No broadcasts, and partitions small enough for the test rows to be skewed."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -106,27 +154,61 @@ def test_hot_visit_is_split_by_the_join(spark):
     try:
         for key, value in settings.items():
             spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("popular", [7, None])
+def test_hot_visit_is_split_by_the_join(spark, tmp_path, popular):
+    """A third of the rows on one visit, or without an establishment: the join's hot partition is cut into several tasks."""
+    store = TableStore(str(tmp_path))
+    with splitting(spark):
         hot = F.col("id") % 3 == 0
         rows = spark.range(0, 6000, 1, 8).select(
-            F.when(hot, F.lit(7)).otherwise(F.col("id").cast("int") + 100).alias("camis"),
-            F.lit("2024-06-01 00:00:00").cast("timestamp_ntz").alias("inspection_date"),
+            F.when(hot, F.lit(popular).cast("int")).otherwise(F.col("id").cast("int") + 100).alias("camis"),
+            F.when(hot, F.lit("2024-06-01")).otherwise(F.concat(F.lit("2024-06-"), (F.col("id") % 28 + 1).cast("string"))).cast("timestamp_ntz").alias("inspection_date"),
             (F.col("id") % 40).cast("int").alias("score"),
             F.sha2(F.col("id").cast("string"), 512).alias("payload"),
         )
-        scored = stage.attach_visit_score(rows)
+        rows = store.save(rows, "test", "rows")
+        averages = store.save(stage.visit_avg_score(rows), "test", "averages")
+        scored = stage.attach_visit_score(rows, averages)
         assert "skew=true" in final_plan(scored)
         means = {r.camis: r.m for r in scored.groupBy("camis").agg(F.avg("computed_score").alias("m")).where("camis = 7").collect()}
-        assert means[7] == pytest.approx(sum(i % 40 for i in range(0, 6000, 3)) / 2000)
+        if popular:
+            assert means[7] == pytest.approx(sum(i % 40 for i in range(0, 6000, 3)) / 2000)
         assert scored.count() == 6000
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("popular", ["Main St", None])
+@pytest.mark.parametrize("area", ["street", "zipcode"])
+@pytest.mark.parametrize("side", ["restaurants", "buildings"])
+def test_hot_areas_are_split_by_the_join(spark, stored, tmp_path, side, area, popular):
+    tables, models = stored
+    store = TableStore(str(tmp_path))
+    summary, module, names = {
+        "restaurants": ("restaurant_stats_6m", restaurant_risk, ("restaurant_street_scores", "restaurant_zip_scores")),
+        "buildings": ("building_stats_6m", building_risk, ("rat_street_scores", "rat_zip_scores")),
+    }[side]
+    few = models.read(spark, "mart", summary).limit(60)
+    copies = 9000 // few.count()
+    with splitting(spark):
+        many = few.drop(area).crossJoin(spark.range(0, copies, 1, 8)).withColumn(
+            area, F.when(F.col("id") % 3 == 0, F.lit(popular)).otherwise(F.concat(F.lit("a"), F.col("id").cast("string"), F.col("bin").cast("string")))
+        )
+        payload = {"nta": F.sha2(F.col("id").cast("string"), 512)} if side == "restaurants" else {"latitude": F.rand(1), "longitude": F.rand(2)}
+        stats = store.save(many.withColumns(payload), "test", "stats")
+        streets, zips = (store.save(getattr(module, n)(stats), "test", n) for n in names)
+        scores = module.restaurant_risk if side == "restaurants" else module.rat_risk
+        assert "skew=true" in final_plan(scores(stats, "2001-07-01", streets, zips))
 
 
 def test_every_query_has_sql():
     from parity import oracle_sql
 
-    assert set(registry()) == set(oracle_sql.registry()) and len(registry()) == 57
+    assert set(registry()) == set(oracle_sql.registry()) and len(registry()) == 58
 
 
 def test_strictness_reaches_every_cast(spark, tmp_path):

@@ -84,7 +84,7 @@ def test_number_of_declared_checks():
 def test_single_row_checks_share_one_scan(spark, tmp_path):
     sample(spark).write.parquet(str(tmp_path / "t"))
     df = spark.read.parquet(str(tmp_path / "t"))
-    single = {k: CHECKS[k] for k in ("not_null", "accepted_range", "row_count")}
+    single = {k: CHECKS[k] for k in ("not_null", "accepted_range", "accepted_values", "row_count")}
     plan = quality.check_table(df, "t", single)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1
 
@@ -96,3 +96,10 @@ def test_audit_stores_failures(spark, tmp_path):
     nulls = spark.read.parquet(store.path("audit", "t")).where("check_name = 'not_null' AND column_name = 'k'")
     assert values(nulls, "v", "n") == [("B", 5), (None, None)]
     assert values(store.read(spark, "audit", "t_k"), "value", "rows") == [(1, 2), (2, 2)]
+
+
+def test_audit_stores_the_age_of_both_feeds(spark, tmp_path):
+    store = TableStore(str(tmp_path))
+    day = spark.range(1).selectExpr("DATE'2024-06-28' AS extract_date", "id AS k")
+    audit({"t": sample(spark), "clean_restaurant": day, "clean_rat": day}, store, {"t": CHECKS}, as_of=AS_OF)
+    assert values(store.read(spark, "audit", "freshness"), "table_name", "status") == [("clean_rat", "warn"), ("clean_restaurant", "warn")]
