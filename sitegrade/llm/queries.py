@@ -84,6 +84,25 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_groups(table(spark, sf_dir, "documents")).drop("row")
 
 
+OP7_SQL = """
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS t,
+  list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w FROM documents),
+k AS (SELECT doc_id, w, CASE WHEN len(w) = 0 THEN chr(10) || t ELSE array_to_string(w, ' ') END AS k FROM d),
+c AS (SELECT k, min(doc_id) AS class_id, count(*) AS n_copies, any_value(w) AS w FROM k GROUP BY k),
+s AS (SELECT DISTINCT class_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT class_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM c WHERE len(w) > 0)),
+n AS (SELECT class_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.class_id AS a, b.class_id AS b, count(*) AS both FROM s a JOIN s b ON a.s = b.s AND a.class_id < b.class_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.class_id = a JOIN n y ON y.class_id = b WHERE p.both >= 0.8 * (x.n + y.n - p.both) - 1e-9),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+g(node, label) AS (SELECT class_id, class_id FROM c UNION SELECT e.b, g.label FROM g JOIN e ON e.a = g.node),
+m AS (SELECT node, min(label) AS group_id FROM g GROUP BY 1),
+f AS (SELECT a, count(*) AS n_links FROM e GROUP BY 1)
+SELECT k.doc_id, c.class_id, c.n_copies, coalesce(f.n_links, 0) AS n_links, m.group_id
+FROM k JOIN c USING (k) JOIN m ON m.node = c.class_id LEFT JOIN f ON f.a = c.class_id
+"""
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), licenses.known_digests(spark))
 
@@ -126,4 +145,4 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracles() -> dict[str, str]:
-    return {"op1_decontamination": OP1_SQL, "op3_exact_top_k": OP3_SQL, "op8_license_scan": licenses.oracle(), "op9_line_dedup": OP9_SQL}
+    return {"op1_decontamination": OP1_SQL, "op3_exact_top_k": OP3_SQL, "op7_jaccard_join": OP7_SQL, "op8_license_scan": licenses.oracle(), "op9_line_dedup": OP9_SQL}
