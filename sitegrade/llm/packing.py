@@ -13,6 +13,7 @@ length.
 
 from __future__ import annotations
 
+import json
 import math
 import zlib
 from collections import Counter
@@ -23,7 +24,6 @@ import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
-from tokenizers import Tokenizer
 
 from sitegrade.llm.common import scratch, stored
 from sitegrade.llm.sharding import running_offsets
@@ -212,14 +212,16 @@ class ByteEncoder:
 
     The same vocabulary, merges and pre-tokenisation in ``tiktoken`` give the
     same ids several times faster; the file's own special strings inside texts
-    stay single ids, as is that library's default.
+    stay single ids, as is that library's default.  Only the file's vocabulary is
+    read: a second tokenizer in each worker would cost memory for nothing.
     """
 
     def __init__(self, path: str):
-        tokenizer = Tokenizer.from_file(path)
-        special = {token.content: i for i, token in tokenizer.get_added_tokens_decoder().items()}
+        with open(path, encoding="utf-8") as file:
+            described = json.load(file)
+        special = {token["content"]: token["id"] for token in described["added_tokens"]}
         byte_of = {c: b for b, c in _byte_characters().items()}
-        ranks = {bytes(byte_of[c] for c in piece): i for piece, i in tokenizer.get_vocab(with_added_tokens=False).items() if piece not in special}
+        ranks = {bytes(byte_of[c] for c in piece): i for piece, i in described["model"]["vocab"].items() if piece not in special}
         self.special = set(special)
         self.encoding = tiktoken.Encoding("byte-level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
