@@ -211,14 +211,16 @@ def _verify(docs: DataFrame, classes: DataFrame, labels: DataFrame, folder: str,
 
 
 def jaccard_groups(docs: DataFrame, folder: str | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """One row for each row of ``docs``: ``doc_id, row, class_id, n_copies, n_links, group_id``.
+    """One row for each row of ``docs``: ``doc_id, row, class_id, n_copies, n_links, group_id, group_key``.
 
     Rows whose texts have the same words in the same order form a class, named
     by its smallest id, of ``n_copies`` rows.  ``n_links`` counts the other
     classes of similarity ``threshold`` or more, by the sets of five-word
     shingles (a text of one to four words is one shingle).  ``group_id`` is the
-    smallest id of all classes that links connect.  ``row`` is a hash of the
-    text and names the row together with its id.
+    smallest id of all classes that links connect; groups without an id, or with
+    an id that other texts bear, too, share it, so ``group_key`` names the group:
+    the smallest class key in it.  ``row`` is a hash of the text and names the
+    row together with its id.
 
     Null texts count as empty.  Texts without a word have no shingles and no
     links; equal ones are copies.  A null id counts as the largest.  Repeated
@@ -237,19 +239,18 @@ def jaccard_groups(docs: DataFrame, folder: str | None = None, threshold: float
     named = stored(named.select("key", "label", "doc", "n_copies").join(links, "key", "left"), folder, "named")
     owners = stored(named.groupBy("label").agg(F.min("doc").alias("group_id")), folder, "owners")
     per_class = stored(
-        named.join(owners, "label").select("key", F.col("doc").alias("class_id"), "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), "group_id"),
+        named.join(owners, "label").select("key", F.col("doc").alias("class_id"), "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), "group_id", F.col("label").alias("group_key")),
         folder, "per-class",
     )
     own = lambda c: F.when(F.col(c) < LAST_ID, F.col(c)).alias(c)
-    return sketched.join(per_class, "key").select(own("doc").alias("doc_id"), "row", own("class_id"), "n_copies", "n_links", own("group_id"))
+    return sketched.join(per_class, "key").select(own("doc").alias("doc_id"), "row", own("class_id"), "n_copies", "n_links", own("group_id"), "group_key")
 
 
 def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay: of each group the one of the smallest id, of equal ids the one of the smaller hash."""
     doc, row = _ids()
-    order = F.coalesce("group_id", F.lit(LAST_ID))
-    # A group without any id is one class or a set of rows that all lack an id; its rows are told apart by their hash.
-    first = groups.groupBy(order.alias("group")).agg(F.min(F.struct(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc"), "row")).alias("first"))
+    # Not by group_id: groups without an id, or of unlike texts under one id, share it.
+    first = groups.groupBy("group_key").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc"), "row")).alias("first"))
     named = docs.withColumns({"__doc": doc, "__row": row})
     kept = named.join(first.select(F.col("first.doc").alias("__doc"), F.col("first.row").alias("__row")), ["__doc", "__row"], "left_semi")
     return kept.dropDuplicates(["__doc", "__row"]).drop("__doc", "__row")

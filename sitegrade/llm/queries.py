@@ -81,7 +81,7 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_groups(table(spark, sf_dir, "documents")).drop("row")
+    return jaccard_join.jaccard_groups(table(spark, sf_dir, "documents")).drop("row", "group_key")
 
 
 OP7_SQL = """

@@ -154,6 +154,14 @@ def test_joins_of_documents_and_odd_rows(spark, sf_dir, odd, nothing):
     assert jaccard_join.jaccard_groups(nothing).count() == 0
 
 
+def test_unlike_texts_stay_without_an_id_or_under_one_id(spark):
+    unlike = [(None, "the first text that has no id at all"), (None, "quite another one without any id"), (4, "one text under the fourth id"), (4, "that id again over unlike words")]
+    rows = unlike + [(None, "The first text, that has NO id at all!"), (4, unlike[2][1]), (9, unlike[3][1])]
+    docs = odd_table(spark, rows)
+    stays = jaccard_join.one_of_each(docs, jaccard_join.jaccard_groups(docs))
+    assert Counter((r.doc_id, tuple(words(r.text))) for r in stays.collect()) == Counter((i, tuple(words(t))) for i, t in unlike)
+
+
 def test_pairs_are_dropped_only_below_the_tolerance():
     for n, least in jaccard_join.least_matches().items():
         beyond = lambda m: sum(math.comb(n + 1, j) * 0.8**j * 0.2 ** (n + 1 - j) for j in range(m + 1))  # noqa: B023, E731
