@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from importlib.resources import files
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Spellings that licence-matching guidelines treat as equal.
@@ -14,8 +18,8 @@ SPELLINGS = [
 _PERMISSION = "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
 _AUTHOR = "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
 
-# Known texts, as published. Whole licences and the one-line notices that refer to one.
-KNOWN = [
+# Whole licences, as published, and one-line notices that refer to one.
+_FIRST = [
     ("MIT", "MIT License\n\nCopyright (c) <year> <holders>\n\nPermission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\n\n" + _PERMISSION),
     ("ISC", "ISC License\n\nCopyright <year> <holder>\n\nPermission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.\n\n" + _AUTHOR),
     ("0BSD", "BSD Zero Clause License\n\nCopyright (c) <year> <holder>\n\nPermission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.\n\n" + _AUTHOR),
@@ -25,6 +29,72 @@ KNOWN = [
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
 ]
 
+# Headings that short licences are published under, after which the copyright line or the text follows.
+HEADINGS = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"],
+    "ISC": ["ISC License", "The ISC License"],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The 2-Clause BSD License", "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The 3-Clause BSD License", "New BSD License"],
+    "Zlib": ["zlib License", "The zlib License"],
+    "Unlicense": ["The Unlicense"],
+}
+
+_GNU = [("GPL", "GNU General Public License", "1.0 2.0 3.0"), ("LGPL", "GNU Lesser General Public License", "2.1 3.0"), ("LGPL", "GNU Library General Public License", "2.0"), ("AGPL", "GNU Affero General Public License", "3.0"), ("GFDL", "GNU Free Documentation License", "1.2 1.3")]
+_CC = [("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"), ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")]
+
+
+def _names() -> Iterator[tuple[str, str]]:
+    """Each licence with the names that notices give it."""
+    for license, headings in HEADINGS.items():
+        yield from ((license, re.sub(r"(?i)^the | \(MIT\)", "", h)) for h in headings)
+    for license, full in (("Apache-2.0", "Apache License"), ("MPL-1.1", "Mozilla Public License"), ("MPL-2.0", "Mozilla Public License"), ("Artistic-1.0", "Artistic License")):
+        short, version = license.split("-")
+        yield from ((license, name) for name in (f"{short} {version}", f"{short} License {version}", f"{full} {version}", f"{full}, Version {version}", f"{full} v{version}"))
+    for short, full, versions in _GNU:
+        for version in versions.split():
+            for v in dict.fromkeys([version, version.removesuffix(".0")]):
+                yield from ((f"{short}-{version}", name) for base in (full, short, f"GNU {short}") for name in (f"{base}, version {v}", f"{base} v{v}", f"{base}v{v}"))
+    for short, full in _CC:
+        for version, where in (("2.0", "Generic"), ("2.5", "Generic"), ("3.0", "Unported"), ("4.0", "International")):
+            yield from ((f"CC-{short}-{version}", name) for name in (f"CC {short} {version}", f"Creative Commons {full} {version}", f"Creative Commons {full} {version} {where}"))
+    yield from (("CC0-1.0", name) for name in ("CC0 1.0", "CC0 1.0 Universal"))
+
+
+def _notices() -> Iterator[tuple[str, str]]:
+    names = list(_names())
+    for license in dict.fromkeys(license for license, _ in names):
+        ids = [license, *(f"{license}-{which}" for which in ("only", "or-later") if "GPL" in license or "GFDL" in license)]
+        yield from ((license, f"{tag}: {own}") for own in ids for tag in ("SPDX-License-Identifier", "License"))
+    for license, name in names:
+        for what in [name, f"the {name}"] + ([] if "License" in name else [f"the {name} License", f"a {name} License"]):
+            for subject in ("", "This work is ", "This project is ", "This software is ", "This file is "):
+                yield from ((license, f"{subject}{verb} under {what}.") for verb in ("licensed", "released", "distributed"))
+
+
+def _unwrapped(text: str) -> str:
+    """Each paragraph in one line; lines of copyright alone stay lines."""
+    return re.sub(r"(?i)((?:^|\n)[ \t]*copyright \([^\n]*\n)|([^\n])\n(?!\n|[ \t]*copyright \()[ \t]*", lambda m: m[1] or m[2] + " ", text)
+
+
+def _wholes() -> Iterator[tuple[str, str]]:
+    """Whole texts with and without heading and appendix, in the published lines and unwrapped."""
+    published = [(license, text.split("\n\n", 1)[1]) for license, text in _FIRST[:3]]
+    for file in sorted(files("sitegrade.llm").joinpath("license_texts").iterdir(), key=lambda f: f.name):
+        published.append((file.name.removesuffix(".txt").split("--")[0], file.read_text(encoding="utf-8")))
+    for license, text in published:
+        end = re.search(r"\n[ \t]*END OF TERMS AND CONDITIONS[^\n]*\n", text)
+        bodies = [text, text[: end.end()], text[: end.start()]] if end else [text]
+        if license == "Unlicense":
+            bodies.append(text.split("For more information")[0] + "For more information, please refer to <https://unlicense.org>")
+        for body in bodies:
+            for head in ("", *(f"{h}\n\n" for h in HEADINGS.get(license, []))):
+                yield license, head + body
+                yield license, head + _unwrapped(body)
+
+
+KNOWN = [*_FIRST, *dict.fromkeys([*_wholes(), *_notices()])]
+
 _COPYRIGHT = r"(^|\n)[ \t#*/;-]*(copyright|\(c\)|©)[^\n]*"
 _RIGHTS = r"all rights reserved\.?"
 _PUNCTUATION = r"[\x00-\x09\x0b-\x2f\x3a-\x60\x7b-\x7f‘’“”–—…]+"
@@ -47,9 +117,9 @@ def canonical_text(lines: Column) -> Column:
     return F.array_join(lines, " ")
 
 
-def known_digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
-    """``digest, license`` of known texts; of two licences with one canonical text the smaller name stays."""
-    texts = spark.createDataFrame(known, "license string, text string")
+def known_digests(spark: SparkSession, known: list[tuple[str, str]] | DataFrame = KNOWN) -> DataFrame:
+    """``digest, license`` of known texts, pairs or a table of ``license, text``; of two licences with one canonical text the smaller name stays."""
+    texts = known if isinstance(known, DataFrame) else spark.createDataFrame(known, "license string, text string")
     digest = F.sha2(canonical_text(canonical_lines(F.col("text"))), 256)
     return texts.select("license", digest.alias("digest")).groupBy("digest").agg(F.min("license").alias("license"))
 

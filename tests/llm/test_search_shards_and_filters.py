@@ -154,3 +154,25 @@ def test_licence_texts_in_other_spelling(spark, odd, nothing):
     assert found == {(1, "MIT", 0, "", 1), (2, None, 0, "", 1), (3, None, 2, "CC-BY-NC-4.0,MIT", 1), (3, None, 0, "", 1), (None, None, 0, "", 2), (4, None, 0, "", 1)}
     assert licenses.scan(odd, licenses.known_digests(spark)).agg(F.sum("n_rows")).first()[0] == odd.count()
     assert licenses.scan(nothing, licenses.known_digests(spark)).count() == 0
+
+
+def test_common_licences_are_known(spark):
+    from pathlib import Path
+
+    text = lambda name: (Path(licenses.__file__).parent / "license_texts" / f"{name}.txt").read_text()
+    names = ["Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "Unlicense", "CC0-1.0", "CC-BY-SA-4.0"]
+    wholes = dict(enumerate(names)) | {100: "Apache-2.0", 101: "BSD-3-Clause", 102: "MPL-2.0"}
+    rows = [(i, text(name).upper()) for i, name in enumerate(names)]
+    rows += [(100, text("Apache-2.0").split("END OF TERMS")[0]), (101, "BSD 3-Clause License\n\nCopyright (c) 2020, Someone\nAll rights reserved.\n\n" + text("BSD-3-Clause"))]
+    rows += [(102, text("MPL-2.0").replace("\n    ", "\n  "))]
+    notices = {
+        200: ("# SPDX-License-Identifier: LGPL-2.1-or-later", "LGPL-2.1"), 201: ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "CC-BY-4.0"),
+        202: ("Distributed under the BSD 3-Clause Licence", "BSD-3-Clause"), 203: ("This software is licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0"),
+    }
+    rows += [(i, f"some words\n{line}\nmore") for i, (line, _) in notices.items()] + [(300, "we talk about the Apache License here"), (301, text("Apache-2.0")[:5000])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.license, r.notices) for r in licenses.scan(docs, licenses.known_digests(spark)).collect()}
+    assert {i: f[0] for i, f in found.items() if f[0]} == wholes
+    assert {i: f[1] for i, f in found.items() if i >= 200 and f[1]} == {i: name for i, (_, name) in notices.items()}
+    own = spark.createDataFrame([("Own", "a text of\nour own")], "license string, text string")
+    assert licenses.scan(docs.limit(1).select("doc_id", F.lit("A text of our OWN.").alias("text")), licenses.known_digests(spark, own)).first().license == "Own"
