@@ -70,22 +70,25 @@ def host_edges(pages: DataFrame, html: str = "html", url: str = "url") -> DataFr
     return links.select("src", dst.alias("dst")).where(F.col("dst") != "").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("links"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, folder: str, damping: float = DAMPING, tolerance: float = TOLERANCE, most_rounds: int = MOST_ROUNDS) -> DataFrame:
+def propagate(
+    edges: DataFrame, seeds: DataFrame, folder: str, damping: float = DAMPING, tolerance: float = TOLERANCE, most_rounds: int = MOST_ROUNDS, keep: float | None = None
+) -> DataFrame:
     """Personalised PageRank ``host, score`` of ``seeds`` (``host, seed``) along ``edges`` (``src, dst, weight``; weights of a source sum to one).
 
-    A host keeps ``1 - damping`` of its seed and receives ``damping`` of what
-    the hosts linking to it pass on.  The scores are not scaled to sum to one,
+    A host keeps ``1 - damping`` of its seed (or ``keep`` of it) and receives
+    ``damping`` of what the hosts linking to it pass on.  The scores are not scaled to sum to one,
     so a host's score is comparable to its seed on a web of any size.  Each
     round is written to the shared folder, which cuts the lineage; the rounds
     end when no score moves by more than ``tolerance``.
     """
+    keep = 1 - damping if keep is None else keep
     scores = seeds.select("host", F.col("seed").alias("score"), F.col("seed"))
     for k in range(most_rounds):
         passed = edges.join(scores.select(F.col("host").alias("src"), "score").where("score > 0"), "src")
         received = passed.groupBy(F.col("dst").alias("host")).agg(F.sum(F.col("weight") * F.col("score")).alias("received"))
         joined = scores.join(received, "host", "full_outer")
         seed, before, came = (F.coalesce(F.col(c), F.lit(0.0)) for c in ("seed", "score", "received"))
-        after = (1 - damping) * seed + damping * came
+        after = keep * seed + damping * came
         rounds = joined.select("host", after.alias("score"), seed.alias("seed"), F.abs(after - before).alias("moved"))
         scores = stored(rounds, folder, f"round-{k}")
         if (scores.agg(F.max("moved")).first()[0] or 0.0) <= tolerance:
@@ -118,17 +121,18 @@ def judge(pages: DataFrame, rules: Sequence[Rule], threshold: float = THRESHOLD,
     hosts = stored(counted, folder, "hosts")
     edges = stored(host_edges(pages), folder, "edges")
 
-    def weighted(src: str, dst: str) -> DataFrame:
-        """Each source's links shared out; a host without links passes its score to itself."""
-        totals = edges.groupBy(F.col(src).alias("host")).agg(F.sum("links").alias("total"))
-        ends = hosts.select("host").join(totals, "host", "left_anti").select(F.col("host").alias("src"), F.col("host").alias("dst"), F.lit(1.0).alias("weight"))
-        shared = edges.select(F.col(src).alias("host"), F.col(dst).alias("dst"), "links").join(totals, "host")
-        return shared.select(F.col("host").alias("src"), "dst", (F.col("links") / F.col("total")).alias("weight")).unionByName(ends)
-
-    forward = stored(weighted("src", "dst"), folder, "forward")
-    backward = stored(weighted("dst", "src"), folder, "backward")
+    # Each source's links shared out; a host without links passes its score to itself.
+    totals = stored(edges.groupBy(F.col("src").alias("host")).agg(F.sum("links").alias("total")), folder, "totals")
+    ends = hosts.select("host").join(totals, "host", "left_anti").select(F.col("host").alias("src"), F.col("host").alias("dst"), F.lit(1.0).alias("weight"))
+    shared = edges.withColumnRenamed("src", "host").join(totals, "host").select(F.col("host").alias("src"), "dst", (F.col("links") / F.col("total")).alias("weight"))
+    forward = stored(shared.unionByName(ends), folder, "forward")
+    # Each linker's links to other hosts, for the share of it that is not blocked by rules, turned round.
+    outer = edges.where("src <> dst").withColumnRenamed("src", "host")
+    linkers = outer.groupBy("host").agg(F.sum("links").alias("total")).join(hosts, "host").select("host", ((1 - F.col("blocked")) / F.col("total")).alias("share"))
+    taken = outer.join(stored(linkers, folder, "linkers"), "host")
+    backward = stored(taken.select(F.col("dst").alias("src"), F.col("host").alias("dst"), (F.col("links") * F.col("share")).alias("weight")), folder, "backward")
     trust = propagate(forward, hosts.select("host", F.col("allowed").alias("seed")), f"{folder}/trust")
-    distrust = propagate(backward, hosts.select("host", F.col("blocked").alias("seed")), f"{folder}/distrust")
+    distrust = propagate(backward, hosts.select("host", F.col("blocked").alias("seed")), f"{folder}/distrust", keep=1.0)
     scored = stored(
         trust.withColumnRenamed("score", "trust").join(distrust.withColumnRenamed("score", "distrust"), "host", "full_outer").na.fill(0.0), folder, "scored"
     )

@@ -132,6 +132,22 @@ def test_trust_and_distrust_spread_over_links(spark):
     assert url_filter.judge(empty, URL_RULES).count() == 0
 
 
+def test_linkers_of_a_popular_blocked_host_are_blocked(spark):
+    link = lambda *hosts: "".join(f"<a href='http://{h}/'>x</a>" for h in hosts)
+    pages = [(0, "http://bad.net/", link("clean.example", "bad.net"))]
+    pages += [(n, f"http://only{n}.example/", link("bad.net")) for n in range(1, 13)]
+    pages += [(20, "http://mostly.example/", link("bad.net", "bad.net", "bad.net", "clean.example") + "<a href='/own'>x</a>")]
+    pages += [(21, "http://half.example/", link("bad.net", "clean.example")), (22, "http://clean.example/", None)]
+    pages += [(23, "http://second.example/", link("only1.example", "only2.example"))]
+    rows = url_filter.judge(spark.createDataFrame(pages, "page_id long, url string, html string"), URL_RULES).collect()
+    by = {r.host: r for r in rows}
+    wanted = {f"only{n}.example" for n in range(1, 13)} | {"bad.net", "mostly.example", "second.example"}
+    assert {h for h, r in by.items() if r.verdict == "block"} == wanted
+    hosts = {h: r.distrust for h, r in by.items()}
+    assert abs(hosts["only5.example"] - 0.85) < 1e-3 and abs(hosts["second.example"] - 0.85**2) < 1e-3
+    assert hosts["clean.example"] == 0 and abs(hosts["half.example"] - 0.425) < 1e-3 and abs(hosts["mostly.example"] - 0.85 * 0.75) < 1e-3
+
+
 def test_scores_equal_power_iteration(spark):
     rng = np.random.default_rng(5)
     n = 12
