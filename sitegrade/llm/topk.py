@@ -25,7 +25,7 @@ ROW_BLOCK = 16384
 
 
 def quantised(df: DataFrame, vector: str = "embedding", scale: int = 64) -> DataFrame:
-    """``vec_id`` and ``vector`` of whole numbers, floor(scale * x); rows without an id, or with a null or non-finite component, are left out."""
+    """``vec_id`` and ``vector`` of whole numbers, floor(scale * x); rows without an id, or with a null or non-finite component, are left out, and rows equal in both are one."""
     values = F.col(vector).cast("array<double>")
     bad = F.exists(values, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     usable = F.col("vec_id").isNotNull() & values.isNotNull() & ~bad
