@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 SHINGLE_WORDS = 5
+PART_BYTES = 4 << 20
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -41,6 +44,17 @@ def stored(df: DataFrame, folder: str, name: str, partition_by: tuple[str, ...]
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def parts(batch: pa.RecordBatch, column: int, most_bytes: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """``batch`` in consecutive slices whose values in ``column`` (text, binary or a list) take about ``most_bytes``; a longer value stands alone."""
+    values = batch.column(column)
+    ends = np.frombuffer(values.buffers()[1], dtype=np.int32, count=values.offset + len(values) + 1)[values.offset :] if len(values) else np.zeros(1)
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(ends, ends[at] + most_bytes, side="right")) - 1)
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def words(text: str | None) -> list[str]:
     """Runs of letters and digits, lower-cased; case and punctuation do not count."""
     return _WORD.findall(text.lower()) if text else []

@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sitegrade.llm import decontamination, importance_resampling, jaccard_join, licenses, line_dedup, packing, sharding, token_counts, topk, url_filter
+from sitegrade.llm import byte_bpe, centroids, decontamination, fill_in_middle, importance_resampling, jaccard_join, licenses, line_dedup, packing, sharding, token_counts, topk, url_filter
 from sitegrade.llm.common import table
 
 TOP_K, QUERY_EVERY = 20, 20
@@ -128,6 +128,67 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    back = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents"), *vocabulary), *vocabulary)
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary")
+    return back.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.transform(fill_in_middle.rank_index(table(spark, sf_dir, "documents")))
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+        digest(fill_in_middle.restored(F.col("form"), F.col("output"))).alias("restored_sha256"),
+    )
+
+
+OP12_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+  sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+drawn AS (SELECT doc_id, t, u, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS h1, CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS h2,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 90 THEN 'plain'
+    WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+cut AS (SELECT doc_id, t, n, form, array_to_string(u[1:least(h1, h2)], '') AS p, array_to_string(u[least(h1, h2) + 1:greatest(h1, h2)], '') AS m,
+  array_to_string(u[greatest(h1, h2) + 1:], '') AS s FROM drawn)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM cut
+"""
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(centroids.quantised(table(spark, sf_dir, "embeddings")))
+
+
+def _op13_sql(k: int = 8, rounds: int = 10) -> str:
+    """The rounds written out one after another; integer division is floored by taking the remainder off first."""
+    steps = [f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS i, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * x::DOUBLE) AS BIGINT)) AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')), e) - 1 AS c, e AS m FROM v
+  ORDER BY sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')), e LIMIT {k})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (SELECT i, vec_id, e, c, list_sum(list_transform(list_zip(e, m), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) AS d FROM v, c{r}
+  QUALIFY row_number() OVER (PARTITION BY i ORDER BY d, c) = 1)""")
+        if r < rounds:
+            steps.append(f"""
+s{r} AS (SELECT c, j, sum(x) AS s, count(*) AS n FROM (SELECT c, unnest(e) AS x, generate_subscripts(e, 1) AS j FROM a{r}) GROUP BY c, j),
+c{r + 1} AS MATERIALIZED (SELECT c, coalesce(any_value(f), any_value(m)) AS m FROM c{r}
+  LEFT JOIN (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS f FROM s{r} GROUP BY c) USING (c) GROUP BY c)""")
+    return ",".join(steps) + f"""
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (c)
+"""
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -140,9 +201,20 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_scan": op8_license_scan,
         "op9_line_dedup": op9_line_dedup,
         "op10_url_filter": op10_url_filter,
+        "op11_byte_bpe": op11_byte_bpe,
+        "op12_fill_in_middle": op12_fill_in_middle,
+        "op13_centroid_clustering": op13_centroid_clustering,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracles() -> dict[str, str]:
-    return {"op1_decontamination": OP1_SQL, "op3_exact_top_k": OP3_SQL, "op7_jaccard_join": OP7_SQL, "op8_license_scan": licenses.oracle(), "op9_line_dedup": OP9_SQL}
+    return {
+        "op1_decontamination": OP1_SQL,
+        "op3_exact_top_k": OP3_SQL,
+        "op7_jaccard_join": OP7_SQL,
+        "op8_license_scan": licenses.oracle(),
+        "op9_line_dedup": OP9_SQL,
+        "op12_fill_in_middle": OP12_SQL,
+        "op13_centroid_clustering": _op13_sql(),
+    }
