@@ -29,16 +29,28 @@ LONG_RUN = 1 << 16
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    """Tokens and their ranks of a rank file: a line each, the token in base64."""
+    with open(path, "rb") as file:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+
+
 class Codec:
-    """Encodes and decodes by the ranks in ``rank_path``; ``chunk`` and ``long_run`` bound what the library gets at once, in characters."""
+    """Encodes and decodes by ``ranks``; ``special`` strings, which hold no white space, are single ids.
 
-    def __init__(self, rank_path: str, pattern: str, chunk: int = CHUNK, long_run: int = LONG_RUN):
-        with open(rank_path, "rb") as file:
-            self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
-        self.encoding = tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=self.ranks, special_tokens={})
+    ``chunk`` and ``long_run`` bound what the library gets at once, in characters.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, special: dict[str, int] | None = None, chunk: int = CHUNK, long_run: int = LONG_RUN):
+        self.ranks, self.special = ranks, special or {}
+        self.encoding = tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens=self.special)
         self.chunk, self.long_run, self.whole = chunk, long_run, None
         self._edge = re.compile(f"(?<=[^{WHITE}])[{WHITE}]")
         self._run = re.compile(f"[{WHITE}]{{{long_run},}}")
+        self._allowed, self._special = set(self.special), tuple(self.special)
+
+    def _ids(self, text: str) -> list[int]:
+        return self.encoding.encode(text, allowed_special=self._allowed) if self._allowed else self.encoding.encode_ordinary(text)
 
     def _one_match(self, text: str) -> list[int]:
         if self.whole is None:  # seldom needed, so built on first use
@@ -59,17 +71,18 @@ class Codec:
         start = 0
         for run in self._run.finditer(text):
             for chunk in self._chunks(text, start, run.start()):
-                yield self.encoding.encode_ordinary(chunk)
-            # The match leaves the last character to what follows, if anything does.
-            start = run.end() if run.end() == len(text) else run.end() - 1
+                yield self._ids(chunk)
+            # The match leaves the last character to what follows, if anything does; a special string ends the text before it.
+            last = run.end() == len(text) or text.startswith(self._special, run.end())
+            start = run.end() if last else run.end() - 1
             yield self._one_match(text[run.start() : start])
         for chunk in self._chunks(text, start, len(text)):
-            yield self.encoding.encode_ordinary(chunk)
+            yield self._ids(chunk)
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of the whole text."""
         if len(text) <= min(self.chunk, self.long_run):
-            return np.array(self.encoding.encode_ordinary(text), dtype=np.int32)
+            return np.array(self._ids(text), dtype=np.int32)
         found = [np.array(ids, dtype=np.int32) for ids in self._pieces(text)]
         return np.concatenate(found) if found else np.empty(0, dtype=np.int32)
 
@@ -83,7 +96,7 @@ _codecs: dict[tuple[str, str], Codec] = {}
 
 def _codec(rank_path: str, pattern: str) -> Codec:
     if (rank_path, pattern) not in _codecs:
-        _codecs[rank_path, pattern] = Codec(rank_path, pattern)
+        _codecs[rank_path, pattern] = Codec(read_ranks(rank_path), pattern)
     return _codecs[rank_path, pattern]
 
 

@@ -22,9 +22,9 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from sitegrade.llm.byte_bpe import Codec
 from sitegrade.llm.common import scratch, stored
 from sitegrade.llm.sharding import running_offsets
 
@@ -213,7 +213,8 @@ class ByteEncoder:
     The same vocabulary, merges and pre-tokenisation in ``tiktoken`` give the
     same ids several times faster; the file's own special strings inside texts
     stay single ids, as is that library's default.  Only the file's vocabulary is
-    read: a second tokenizer in each worker would cost memory for nothing.
+    read: a second tokenizer in each worker would cost memory for nothing.  Long
+    texts, and white space of any length, are encoded chunk by chunk.
     """
 
     def __init__(self, path: str):
@@ -222,11 +223,10 @@ class ByteEncoder:
         special = {token["content"]: token["id"] for token in described["added_tokens"]}
         byte_of = {c: b for b, c in _byte_characters().items()}
         ranks = {bytes(byte_of[c] for c in piece): i for piece, i in described["model"]["vocab"].items() if piece not in special}
-        self.special = set(special)
-        self.encoding = tiktoken.Encoding("byte-level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+        self.codec = Codec(ranks, PATTERN, special)
 
     def __call__(self, text: str) -> np.ndarray:
-        return np.array(self.encoding.encode(text, allowed_special=self.special), dtype="<u4")
+        return self.codec.encode(text).astype("<u4")
 
 
 def _byte_characters() -> dict[int, str]:

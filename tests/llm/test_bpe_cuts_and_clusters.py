@@ -19,8 +19,8 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 VOCABULARY = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
 LIBRARY = tiktoken.Encoding("library", pat_str=PATTERN, mergeable_ranks=VOCABULARY, special_tokens={})
-WHOLE = byte_bpe.Codec(RANKS, PATTERN)
-CHOPPED = byte_bpe.Codec(RANKS, PATTERN, chunk=5, long_run=3)
+WHOLE = byte_bpe.Codec(byte_bpe.read_ranks(RANKS), PATTERN)
+CHOPPED = byte_bpe.Codec(VOCABULARY, PATTERN, chunk=5, long_run=3)
 PART = st.sampled_from([" ", "  ", "   \n", "\n", "\t", "　", " ", "\x85", "\x1c", "a", "the", "ing", "'s", "'", "é", "漢字", "\x00", "🙂", "12", "...", "<|endoftext|>"])
 TEXT = st.lists(PART, max_size=30).map("".join) | st.text(max_size=40)
 

@@ -85,8 +85,8 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 def test_one_query_for_each_operator():
     names = sorted(queries.registry())
-    assert len(names) == 11 and "pipeline" in names
-    assert {int(n[2:].split("_")[0]) for n in names if n != "pipeline"} == set(range(1, 11))
+    assert len(names) == 14 and "pipeline" in names
+    assert {int(n[2:].split("_")[0]) for n in names if n != "pipeline"} == set(range(1, 14))
     entry = importlib.import_module("__spark_entry__")
     assert set(names) <= set(entry.queries())
 

@@ -1,8 +1,9 @@
+import time
 from collections import Counter
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from sitegrade.llm import licenses, sharding, topk, url_filter
 from sitegrade.llm.common import scratch
@@ -161,6 +162,66 @@ def test_scores_equal_power_iteration(spark):
     assert max(abs(found[str(i)] - wanted[i]) for i in range(n)) < 1e-2
 
 
+def test_hubs_that_link_only_to_blocked_hosts_are_blocked(spark):
+    link = lambda *hosts: "".join(f"<a href='http://{h}/'>x</a>" for h in hosts)
+    pages = [(n, f"http://good{n}.org/fr/", link("hub.example", "fine.example")) for n in range(20)]
+    pages += [(20, "http://hub.example/", link("bad.net")), (21, "http://bad.net/", link("bad.net")), (22, "http://fine.example/", link("bad.net", "good1.org"))]
+    by = {r.host: r for r in url_filter.judge(spark.createDataFrame(pages, "page_id long, url string, html string"), URL_RULES).collect()}
+    assert by["hub.example"].verdict == "block" and by["fine.example"].verdict == "allow"
+    assert by["hub.example"].trust > 0.95 and by["hub.example"].distrust == pytest.approx(0.85)
+    assert all(0 <= r.trust <= 1 and 0 <= r.distrust <= 1 for r in by.values()) and by["bad.net"].distrust == 1
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_verdicts_on_random_graphs_equal_linear_systems(spark, seed):
+    rng = np.random.default_rng(seed)
+    names = [f"h{i}.{end}" for i, end in enumerate(rng.choice(["net", "org", "example", "example"], 25))]
+    pages, links, counts = [], np.zeros((25, 25)), np.zeros((25, 3))
+    for k in range(120):
+        i = int(rng.integers(25) ** 2 // 25)
+        path = str(rng.choice(["/fr/", "/en/", "/"]))
+        to = rng.integers(0, 25, int(rng.integers(0, 5)))
+        for j in to:
+            links[i, j] += i != j
+        ends = names[i].split(".")[1]
+        counts[i] += [ends == "org" and path == "/fr/", ends == "net", 1]
+        pages.append((k, f"http://{names[i]}{path}", "".join(f"<p><a class='y' href=http://{names[j]}/p>" for j in to)))
+    present = counts[:, 2] > 0
+    allowed, blocked = (np.where(present, counts[:, c] / np.maximum(counts[:, 2], 1), 0) for c in (0, 1))
+    weight = links / np.maximum(links.sum(axis=1, keepdims=True), 1)
+    reached = present | (links.sum(axis=0) > 0)
+    trust = np.linalg.solve(np.eye(25) - 0.85 * weight.T, 0.15 * allowed)
+    rank = np.linalg.solve(np.eye(25) - 0.85 * weight.T, 0.15 * reached)
+    evidence = rank - 0.15 * (1 - allowed)
+    trust = np.where(evidence > 1e-4, np.minimum(trust / np.maximum(evidence, 1e-9), 1), 0)
+    distrust = np.linalg.solve(np.eye(25) - 0.85 * weight * (1 - blocked)[:, None], blocked)
+    columns = [T.StructField(c, T.StringType()) for c in ("host", "path", "trust", "score", "seed", "base", "src", "dst", "links", "rule", "verdict")]
+    schema = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()), T.StructField("html", T.StringType()), *columns])
+    rows = url_filter.judge(spark.createDataFrame([(*p, *["x"] * len(columns)) for p in pages], schema), URL_RULES).collect()
+    assert len(rows) == 120
+    for r in rows:
+        i = names.index(r.host)
+        assert abs(r.trust - trust[i]) < 0.01 and abs(r.distrust - distrust[i]) < 0.01
+        edge = distrust[i] - 0.5 - 0.3 * trust[i]
+        if r.rule is None and abs(edge) > 0.01:
+            assert r.verdict == ("block" if edge > 0 else "allow")
+
+
+def test_rounds_that_do_not_settle_are_an_error(spark):
+    edges = spark.createDataFrame([("a", "b", 1.0), ("b", "a", 1.0)], "src string, dst string, weight double")
+    seeds = spark.createDataFrame([("a", 1.0)], "host string, seed double")
+    with pytest.raises(RuntimeError):
+        url_filter.propagate(edges, seeds, scratch(spark), most_rounds=3)
+
+
+def test_pages_of_unclosed_links_take_seconds(spark):
+    texts = ["<a " * 3_500_000, "<a href" * 1_500_000, "<a " + "x" * 10_000_000, "<a href=" + " " * 10_000_000, "<a href='http://b.example/'>" * 100_000]
+    pages = spark.createDataFrame([(k, "http://a.example/", t) for k, t in enumerate(texts)], "page_id long, url string, html string")
+    started = time.time()
+    edges = {(r.src, r.dst): r.links for r in url_filter.host_edges(pages).collect()}
+    assert edges == {("a.example", "b.example"): 100_000} and time.time() - started < 60
+
+
 def test_licence_texts_in_other_spelling(spark, odd, nothing):
     mit = dict(reversed(licenses.KNOWN))["MIT"]
     other = mit.replace("<year> <holders>", "2020 Someone").replace("MERCHANTABILITY", "merchantability").replace("NONINFRINGEMENT", "Non-Infringement").replace(". ", " .  ")

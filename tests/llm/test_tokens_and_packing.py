@@ -8,7 +8,7 @@ import sentencepiece
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from sitegrade.llm import packing, queries, token_counts
+from sitegrade.llm import byte_bpe, packing, queries, token_counts
 from sitegrade.llm.common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -57,6 +57,20 @@ def test_ids_are_those_of_the_library(text):
     assert packing._encoder(BYTES)(text).tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(PART | st.sampled_from(["<|endoftext|>", "    ", " \n\n "]), max_size=20).map("".join))
+def test_ids_of_chopped_texts_are_those_of_the_library(text):
+    whole = packing._encoder(BYTES).codec
+    chopped = byte_bpe.Codec(whole.ranks, packing.PATTERN, whole.special, chunk=4, long_run=3)
+    assert chopped.encode(text).tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("white", [" ", "\n", "\t", "\r\n", "　"])
+def test_ids_of_millions_of_blanks(white):
+    for text in (white * 2_000_000, "a b" + white * 2_000_000 + "<|endoftext|>", "a" + white * 2_000_000 + "b c"):
+        assert packing._encoder(BYTES)(text).tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 1023), st.integers(1, 40), max_size=60))
 def test_plan_packs_every_item_once(histogram):
