@@ -343,6 +343,11 @@ SELECT b.bin, b.street, b.zipcode, latitude, longitude,
 FROM building_stats_6m b
 LEFT JOIN rat_street_stats s ON s.street = b.street
 LEFT JOIN rat_zip_stats z ON z.zipcode = b.zipcode""",
+    "visits": f"""
+SELECT DISTINCT camis, bin, zipcode, inspection_date FROM clean_restaurant WHERE inspection_date <> TIMESTAMP '{fixed.UNINSPECTED_SENTINEL}'""",
+    "newest_of_day": f"""
+SELECT bin, inspection_date, work_order_id, result FROM clean_rat WHERE bin IS NOT NULL
+QUALIFY ROW_NUMBER() OVER (PARTITION BY bin, inspection_date ORDER BY {_newest_first("approved_date", "work_order_id", "result")}) = 1""",
     "risk_model": f"""
 SELECT *, {_category('rat_risk_score')} AS risk_category FROM (
   SELECT *, {_COMBINED} AS rat_risk_score FROM (
@@ -429,6 +434,12 @@ SELECT table_name, column_name, 'freshness' AS check_name, {_days('newest')} AS
 FROM ({newest})"""
 
 
+def _as_of(later: str) -> str:
+    return f"""
+SELECT v.*, r.inspection_date AS rat_inspection_date, r.work_order_id AS rat_work_order_id, r.result AS rat_result
+FROM visits v ASOF LEFT JOIN newest_of_day r ON r.bin = v.bin AND v.inspection_date {later} r.inspection_date"""
+
+
 # ------------------------------------------------------------------- queries
 
 _PLACE = "latitude longitude"
@@ -547,6 +558,16 @@ FROM (SELECT bin, inspection_date, {_OUTCOMES} FROM clean_rat GROUP BY bin, insp
     "rat_zip_score": f"SELECT zipcode, {_six(_RAT_ZIP_SCORE)} AS zip_rr_score FROM rat_zip_stats",
     "combined_score": f"SELECT camis, dba, bin, {_six('rat_risk_score')} AS rat_risk_score FROM risk_model",
     "risk_category_counts": 'SELECT risk_category, COUNT(*) AS "rows" FROM risk_model GROUP BY risk_category',
+    "rat_state_at_visit": _as_of(">="),
+    "rat_state_before_visit": f"""
+SELECT * EXCLUDE (recent) REPLACE (CASE WHEN recent THEN rat_inspection_date END AS rat_inspection_date,
+  CASE WHEN recent THEN rat_work_order_id END AS rat_work_order_id, CASE WHEN recent THEN rat_result END AS rat_result)
+FROM (SELECT *, rat_inspection_date >= inspection_date - INTERVAL 90 DAY AS recent FROM ({_as_of('>')}))""",
+    "rat_findings_near_visits": """
+SELECT v.*, r.inspection_date AS rat_inspection_date, r.work_order_id AS rat_work_order_id, r.bin AS rat_bin, r.street AS rat_street
+FROM visits v JOIN clean_rat r ON r.zipcode = v.zipcode
+  AND r.inspection_date BETWEEN v.inspection_date - INTERVAL 90 DAY AND v.inspection_date
+WHERE r.result = 'RAT ACTIVITY'""",
     "dq_not_null": _check_kind("not_null"),
     "dq_accepted_values": _check_kind("accepted_values"),
     "dq_accepted_range": _check_kind("accepted_range"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import cached_property, reduce
 
@@ -12,7 +13,7 @@ from sitegrade import fixed_values as fixed
 from sitegrade.functions import dates, scoring
 from sitegrade.functions.casts import to_coordinate, to_double, to_int, to_long, to_timestamp
 from sitegrade.functions.keys import hash_key
-from sitegrade.operators import building_risk, clean, combined_risk, quality, restaurant_risk, stage
+from sitegrade.operators import building_risk, clean, combined_risk, quality, restaurant_risk, stage, temporal_joins
 from sitegrade.plans import pipeline
 from sitegrade.session import configure, scratch_root
 from sitegrade.sources.sinks import TableStore, serving_cast, serving_clean
@@ -287,6 +288,29 @@ def _rat_zip_score(layers: Layers) -> DataFrame:
     return building_risk.rat_zip_stats(layers.building_stats).select("zipcode", score)
 
 
+# ------------------------------------------------------------ joins on time
+
+
+def _visits(layers: Layers) -> DataFrame:
+    real = layers.clean_restaurant.where(stage.was_inspected(F.col("inspection_date")))
+    return layers.store.save(real.select("camis", "bin", "zipcode", "inspection_date").distinct(), "stage", "visits")
+
+
+def _rat_state_at_visit(layers: Layers, **which) -> DataFrame:
+    return temporal_joins.as_of_join(
+        _visits(layers), layers.clean_rat, layers.store, ["bin"], "inspection_date", "inspection_date",
+        ["work_order_id", "result"], ["approved_date"], prefix="rat_", **which,
+    )
+
+
+def _rat_findings_near_visits(layers: Layers) -> DataFrame:
+    findings = layers.clean_rat.where(F.col("result") == "RAT ACTIVITY")
+    return temporal_joins.interval_join(
+        _visits(layers), findings, layers.store, ["zipcode"], "inspection_date", "inspection_date",
+        ["work_order_id", "bin", "street"], before=dt.timedelta(days=90), prefix="rat_",
+    )
+
+
 # -------------------------------------------------------------- sinks, checks
 
 
@@ -395,6 +419,10 @@ _QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "rat_zip_score": _rat_zip_score,
     "combined_score": lambda x: x.risk_model.select("camis", "dba", "bin", "rat_risk_score"),
     "risk_category_counts": lambda x: combined_risk.risk_category_counts(x.risk_model),
+    # joins on time
+    "rat_state_at_visit": _rat_state_at_visit,
+    "rat_state_before_visit": lambda x: _rat_state_at_visit(x, exact=False, oldest="90 days"),
+    "rat_findings_near_visits": _rat_findings_near_visits,
     # data checks
     "dq_not_null": lambda x: _checks(x, "not_null"),
     "dq_accepted_values": lambda x: _checks(x, "accepted_values"),

@@ -208,7 +208,7 @@ def test_hot_areas_are_split_by_the_join(spark, stored, tmp_path, side, area, po
 def test_every_query_has_sql():
     from parity import oracle_sql
 
-    assert set(registry()) == set(oracle_sql.registry()) and len(registry()) == 58
+    assert set(registry()) == set(oracle_sql.registry()) and len(registry()) == 61
 
 
 def test_strictness_reaches_every_cast(spark, tmp_path):
