@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from functools import cached_property, reduce
+from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -29,11 +30,14 @@ SCORED_COLUMNS = [
 class Layers:
     """The models over one folder of test tables, each built on first use.
 
-    All is lazy except what a score reads more than once: the deduplicated
-    restaurant rows and the two half-year summaries are written to the shared
-    scratch folder first.
+    All is lazy except what is read more than once or joined to its own
+    aggregate: the deduplicated restaurant rows, visit means and maxima and the
+    half-year summaries are written to the shared scratch folder first.
     """
 
+    # Full refreshes by session and folder: the checks of one session read the same stored tables.
+    refreshed: ClassVar[dict[tuple[str, str], pipeline.Tables]] = {}
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = configure(spark), sf_dir
 
@@ -62,7 +66,8 @@ class Layers:
 
     @cached_property
     def stage_restaurant(self) -> DataFrame:
-        return stage.stage_restaurant(self.clean_restaurant, AS_OF)
+        cleaned = self.store.save(self.clean_restaurant, "clean", "clean_restaurant_inspection")
+        return pipeline.staged_restaurant(cleaned, self.store, AS_OF)
 
     @cached_property
     def stage_rat(self) -> DataFrame:
@@ -78,7 +83,7 @@ class Layers:
 
     @cached_property
     def visits(self) -> DataFrame:
-        return restaurant_risk.visit_stats(self.mart_restaurant)
+        return pipeline.stored_visits(self.scored_mart, self.store)
 
     @cached_property
     def restaurant_stats(self) -> DataFrame:
@@ -89,11 +94,15 @@ class Layers:
         return building_risk.building_stats_6m(self.mart_rat, AS_OF)
 
     @cached_property
-    def restaurant_risk(self) -> DataFrame:
+    def scored_mart(self) -> DataFrame:
+        """The mart with the columns that scores read."""
         cleaned = self.store.save(self.clean_restaurant.select(*SCORED_COLUMNS), "clean", "scored_columns")
         staged = stage.attach_visit_score(cleaned, self.store.save(stage.visit_avg_score(cleaned), "stage", "visit_avg_score"))
-        mart = stage.mart_restaurant(stage.graded(stage.real_visits(staged), AS_OF))
-        return pipeline.restaurant_scores(mart, self.store, AS_OF)
+        return stage.mart_restaurant(stage.graded(stage.real_visits(staged), AS_OF))
+
+    @cached_property
+    def restaurant_risk(self) -> DataFrame:
+        return pipeline.restaurant_scores(self.scored_mart, self.store, AS_OF)
 
     @cached_property
     def rat_risk(self) -> DataFrame:
@@ -104,9 +113,12 @@ class Layers:
         """Both sides store tables on the way, so they are built side by side."""
         return combined_risk.risk_model(*pipeline.side_by_side([lambda: self.restaurant_risk, lambda: self.rat_risk]))
 
-    @cached_property
+    @property
     def stored(self) -> pipeline.Tables:
-        return pipeline.run(self.raw_restaurant, self.raw_rat, self.store, AS_OF)
+        key = self.spark.sparkContext.applicationId, self.sf_dir
+        if key not in self.refreshed:
+            self.refreshed[key] = pipeline.run(self.raw_restaurant, self.raw_rat, self.store, AS_OF)
+        return self.refreshed[key]
 
 
 def comparable(df: DataFrame) -> DataFrame:

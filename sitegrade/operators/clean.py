@@ -73,7 +73,11 @@ def latest_restaurant_rows(typed: DataFrame) -> DataFrame:
 
 def clean_restaurant(raw: DataFrame, as_of: AsOf = None, strict: bool = True) -> DataFrame:
     """Deduplicated typed rows; columns that follow from others are added after the shuffle."""
-    latest = latest_restaurant_rows(type_restaurant_rows(raw, strict))
+    return finished_restaurant(latest_restaurant_rows(type_restaurant_rows(raw, strict)), as_of)
+
+
+def finished_restaurant(latest: DataFrame, as_of: AsOf = None) -> DataFrame:
+    """:func:`latest_restaurant_rows` with the columns that follow from others."""
     return latest.select(
         "inspection_order_id", "camis", "dba", F.lower("dba").alias("dba_lower"), "boro", "building",
         "street", "zipcode", "phone", "inspection_date", "critical_flag", "record_date", "bin", "bbl",
@@ -103,10 +107,12 @@ def clean_rat(raw: DataFrame, as_of: AsOf = None, strict: bool = True) -> DataFr
     A work order whose newest row lies outside the range vanishes as a whole; an
     older row inside the range must not take its place.
     """
-    latest = latest_work_orders(raw, strict).where(
-        between_days(F.col("inspection_date"), fixed.EARLIEST_INSPECTION, as_of)
-    )
-    return latest.select(
+    return finished_rat(latest_work_orders(raw, strict), as_of, strict)
+
+
+def finished_rat(latest: DataFrame, as_of: AsOf = None, strict: bool = True) -> DataFrame:
+    """:func:`latest_work_orders` inside the date range, typed."""
+    return latest.where(between_days(F.col("inspection_date"), fixed.EARLIEST_INSPECTION, as_of)).select(
         F.upper("inspection_type").alias("inspection_type"),
         to_int("job_ticket_or_work_order_id", strict).alias("work_order_id"),
         "job_id",

@@ -56,7 +56,22 @@ def site_visits(mart: DataFrame) -> DataFrame:
     )
 
 
-def visit_stats(mart: DataFrame, sites: DataFrame | None = None) -> DataFrame:
+def visit_maxima(sites: DataFrame) -> DataFrame:
+    """Per visit the worst counts of its variants, and the number of these.
+
+    A variant's counts are the sums over its site descriptions.
+    """
+    variants = sites.groupBy(*VISIT_VARIANT_KEYS).agg(
+        F.sum("_severe").alias("severe_vio_count"), F.sum("_moderate").alias("moderate_vio_count")
+    )
+    return variants.groupBy("camis", "inspection_date").agg(
+        F.max("severe_vio_count").alias("severe_vio_count"),
+        F.max("moderate_vio_count").alias("moderate_vio_count"),
+        F.count(F.lit(1)).alias("_variants"),
+    )
+
+
+def visit_stats(mart: DataFrame, sites: DataFrame | None = None, maxima: DataFrame | None = None) -> DataFrame:
     """One row per visit and site description, with the visit's worst variant counts.
 
     A visit recorded under k variants (name or building spelled differently)
@@ -64,19 +79,14 @@ def visit_stats(mart: DataFrame, sites: DataFrame | None = None) -> DataFrame:
     those k * k copies, the maxima and k are aggregated per visit first; only
     ``total_critical_count`` depends on the copies and is multiplied.
 
-    A variant's counts are the sums over its site descriptions, so the mart is
-    only read for ``sites``, its :func:`site_visits`; stored, they make one scan
-    of the mart and a join that can split a hot visit.
+    The mart is only read for ``sites``, its :func:`site_visits`; stored, they
+    make one scan of the mart.  ``maxima`` are the stored :func:`visit_maxima` of
+    the sites.  Only then does the join shuffle both sides, and a hot visit is
+    split (adaptive skew join); maxima that are not stored already have the
+    join's partitioning, and their hot partition stays whole.
     """
     described = site_visits(mart) if sites is None else sites
-    variants = described.groupBy(*VISIT_VARIANT_KEYS).agg(
-        F.sum("_severe").alias("severe_vio_count"), F.sum("_moderate").alias("moderate_vio_count")
-    )
-    visits = variants.groupBy("camis", "inspection_date").agg(
-        F.max("severe_vio_count").alias("severe_vio_count"),
-        F.max("moderate_vio_count").alias("moderate_vio_count"),
-        F.count(F.lit(1)).alias("_variants"),
-    )
+    visits = visit_maxima(described) if maxima is None else maxima
     return described.join(visits, ["camis", "inspection_date"]).select(
         *SITE_KEYS,
         "inspection_date",

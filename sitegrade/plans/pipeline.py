@@ -139,11 +139,17 @@ def staged_restaurant(cleaned: DataFrame, store: TableStore, as_of: AsOf = None)
 
 def restaurant_summary(mart: DataFrame, store: TableStore, as_of: AsOf = None) -> DataFrame:
     """Stored half-year summary per establishment; the visits it needs are read from the mart once."""
-    sites = store.save(restaurant_risk.site_visits(recent_rows(mart, as_of)), "mart", "site_visits_6m")
-    stats = restaurant_risk.restaurant_stats_6m(restaurant_risk.visit_stats(mart, sites), as_of)
+    stats = restaurant_risk.restaurant_stats_6m(stored_visits(recent_rows(mart, as_of), store, "_6m"), as_of)
     return store.save(stats, "mart", "restaurant_stats_6m")
 
 
+def stored_visits(mart: DataFrame, store: TableStore, suffix: str = "") -> DataFrame:
+    """The visits of a mart over their stored site descriptions and maxima, which a hot visit's join needs to be split."""
+    sites = store.save(restaurant_risk.site_visits(mart), "mart", f"site_visits{suffix}")
+    maxima = store.save(restaurant_risk.visit_maxima(sites), "mart", f"visit_maxima{suffix}")
+    return restaurant_risk.visit_stats(mart, sites, maxima)
+
+
 def restaurant_scores(mart: DataFrame, store: TableStore, as_of: AsOf = None) -> DataFrame:
     """Scores over the stored summary and stored area scores."""
     stats = restaurant_summary(mart, store, as_of)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -24,18 +25,21 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_root(spark: SparkSession) -> str:
+def scratch_root(spark: SparkSession, prefix: str = "sitegrade") -> str:
     """A new folder under the shared checkpoint folder, removed when the driver's JVM ends.
 
     The folder is the one that ``spark.checkpoint.dir`` or ``setCheckpointDir``
-    names; where neither does, one beside the warehouse's tables is set.
+    names.  Where neither does, a local session gets one beside the warehouse's
+    tables; on a cluster that could be each machine's own disk, so it is an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.getCheckpointDir():
+            if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+                raise RuntimeError("tables are stored on the way: set spark.checkpoint.dir to a folder that driver and executors share")
             spark.sparkContext.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints")
         shared = spark.sparkContext.getCheckpointDir()
-    folder = f"{shared.rstrip('/')}/sitegrade-{uuid.uuid4().hex}"
+    folder = f"{shared.rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     return folder

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import datetime as dt
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -22,9 +23,18 @@ def serving_schema(table: str) -> T.StructType:
     return T.StructType.fromDDL(SERVING_TABLES[table])
 
 
+VERSION = "version-"
+
+
 @dataclass(frozen=True)
 class TableStore:
-    """Layer tables as parquet folders ``{root}/{layer}/{table}`` on shared storage."""
+    """Layer tables as parquet folders below ``{root}/{layer}/{table}`` on shared storage.
+
+    Each :meth:`save` writes a version folder of its own; Spark marks it when the
+    write is complete, and readers take the newest marked one.  So a write that
+    fails leaves the table as it was, and one that succeeds disturbs no reader:
+    the version before it stays until the next is written.
+    """
 
     root: str
 
@@ -32,26 +42,82 @@ class TableStore:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
     def save(self, df: DataFrame, layer: str, table: str, folders: str | None = None, spread: Sequence[str] = ()) -> DataFrame:
-        """Replace the table and return a scan of it.
+        """Replace the table and return a scan of it; ``df`` may itself read the table.
 
         The scan has no lineage behind it, so a lost executor costs a re-read
         and not a re-run, and its file sizes tell Spark which joins may
         broadcast.  With ``folders``, each value of that column has a folder of
         its own, which a filter on the column leaves out whole; a large one is
-        dealt to several tasks by ranges of the ``spread`` columns.  The table
-        is replaced in place: do not read it while a run replaces it.
+        dealt to several tasks by ranges of the ``spread`` columns.
         """
         if folders:
             df = df.repartitionByRange(folders, *spread)
-        writer = df.write.mode("overwrite")
-        (writer.partitionBy(folders) if folders else writer).parquet(self.path(layer, table))
-        return self.read(df.sparkSession, layer, table, df.schema)
+        spark, base = df.sparkSession, self.path(layer, table)
+        versions = _children(spark, base)
+        number = max([0, *(int(v.removeprefix(VERSION)) for v in versions if v.startswith(VERSION))]) + 1
+        fresh = f"{base}/{VERSION}{number:08d}"
+        writer = df.write.mode("error")
+        (writer.partitionBy(folders) if folders else writer).parquet(fresh)
+        for old in _complete(spark, base, versions)[:-1]:
+            _remove(spark, f"{base}/{old}")
+        return spark.read.schema(df.schema).parquet(fresh)
 
     def read(
         self, spark: SparkSession, layer: str, table: str, schema: T.StructType | None = None
     ) -> DataFrame:
+        """The newest complete version."""
+        base = self.path(layer, table)
+        versions = _complete(spark, base, _children(spark, base))
+        if not versions:
+            raise FileNotFoundError(f"no complete table in {base}")
         reader = spark.read if schema is None else spark.read.schema(schema)
-        return reader.parquet(self.path(layer, table))
+        return reader.parquet(f"{base}/{versions[-1]}")
+
+    def save_folders(self, df: DataFrame, layer: str, table: str, column: str, touched: Collection[dt.date | None], spread: Sequence[str] = ()) -> None:
+        """Replace the ``touched`` folders of a table that has one for each value of ``column``; all rows of ``df`` belong to them.
+
+        Folders that get no row go.  Others are neither read nor written.  ``df``
+        may read the table itself: Spark moves the new files in when all are
+        written.
+        """
+        spark, base = df.sparkSession, self.path(layer, table)
+        names = [f"{column}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}" for value in touched]
+        before = {name: _children(spark, f"{base}/{name}") for name in names}
+        writer = df.repartitionByRange(column, *spread).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(column).parquet(base)
+        for name, files in before.items():
+            if files and _children(spark, f"{base}/{name}") == files:  # the names of new files are new
+                _remove(spark, f"{base}/{name}")
+
+    def read_folders(self, spark: SparkSession, layer: str, table: str, schema: T.StructType) -> DataFrame:
+        """A table of :meth:`save_folders`; without rows where there is none yet."""
+        base = self.path(layer, table)
+        return spark.read.schema(schema).parquet(base) if _children(spark, base) else spark.createDataFrame([], schema)
+
+    def exists(self, spark: SparkSession, layer: str, table: str) -> bool:
+        base = self.path(layer, table)
+        return bool(_complete(spark, base, _children(spark, base)))
+
+
+def _file_system(spark: SparkSession, path: str):
+    """Spark's own file system for a path, so that any store that Spark writes to will do."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    files, where = _file_system(spark, path)
+    return sorted(status.getPath().getName() for status in files.listStatus(where)) if files.exists(where) else []
+
+
+def _complete(spark: SparkSession, base: str, versions: Sequence[str]) -> list[str]:
+    marks = {v: _file_system(spark, f"{base}/{v}/_SUCCESS") for v in versions if v.startswith(VERSION)}
+    return sorted(v for v, (files, mark) in marks.items() if files.exists(mark))
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    files, where = _file_system(spark, path)
+    files.delete(where, True)
 
 
 def export_path(root: str, warehouse: str, schema: str, date: str, table: str) -> str:
