@@ -371,7 +371,7 @@ def _with_models(query: str) -> str:
     if not needed:
         return query
     parts = [f"{name} AS ({body.strip()})" for name, body in _MODELS.items() if name in needed]
-    return f"WITH {', '.join(parts)}\n{query}"
+    return f"WITH {', '.join(parts)}\nSELECT * FROM ({query})" if query.lstrip().startswith("WITH") else f"WITH {', '.join(parts)}\n{query}"
 
 
 def _compare(source: str, doubles: str = "", columns: str = "*", dates: str = "extract_date") -> str:
@@ -440,6 +440,25 @@ SELECT v.*, r.inspection_date AS rat_inspection_date, r.work_order_id AS rat_wor
 FROM visits v ASOF LEFT JOIN newest_of_day r ON r.bin = v.bin AND v.inspection_date {later} r.inspection_date"""
 
 
+_DESCRIPTION = "dba, boro, building, street, zipcode, cuisine_description"
+_HISTORY = f"""
+WITH seen AS (
+  SELECT camis, inspection_date, {_DESCRIPTION} FROM clean_restaurant
+  WHERE camis IS NOT NULL AND inspection_date <> TIMESTAMP '{fixed.UNINSPECTED_SENTINEL}'
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY camis, inspection_date ORDER BY {_newest_first(*_DESCRIPTION.split(", "))}) = 1),
+islands AS (
+  SELECT *, ROW({_DESCRIPTION}) IS DISTINCT FROM LAG(ROW({_DESCRIPTION})) OVER (PARTITION BY camis ORDER BY inspection_date) AS starts FROM seen)
+SELECT camis, {_DESCRIPTION}, inspection_date AS valid_from, LEAD(inspection_date) OVER (PARTITION BY camis ORDER BY inspection_date) AS valid_to
+FROM islands WHERE starts"""
+
+
+def _subtotals(grouping: str) -> str:
+    return f"""
+SELECT boro, zipcode, street, cuisine_description, CAST(GROUPING_ID(boro, zipcode, street, cuisine_description) AS INTEGER) AS grouping_id,
+  COUNT(*) AS violations, COUNT(DISTINCT bin) AS buildings
+FROM clean_restaurant GROUP BY {grouping} (boro, zipcode, street, cuisine_description)"""
+
+
 # ------------------------------------------------------------------- queries
 
 _PLACE = "latitude longitude"
@@ -558,6 +577,32 @@ FROM (SELECT bin, inspection_date, {_OUTCOMES} FROM clean_rat GROUP BY bin, insp
     "rat_zip_score": f"SELECT zipcode, {_six(_RAT_ZIP_SCORE)} AS zip_rr_score FROM rat_zip_stats",
     "combined_score": f"SELECT camis, dba, bin, {_six('rat_risk_score')} AS rat_risk_score FROM risk_model",
     "risk_category_counts": 'SELECT risk_category, COUNT(*) AS "rows" FROM risk_model GROUP BY risk_category',
+    "establishment_history": _HISTORY,
+    "merged_establishment_history": _HISTORY,
+    "trailing_visit_scores": f"""
+WITH days AS (
+  SELECT camis, inspection_date, COUNT(*) AS n, COUNT(score) AS scored, COALESCE(SUM(score), 0) AS score FROM clean_restaurant
+  WHERE camis IS NOT NULL AND inspection_date <> TIMESTAMP '{fixed.UNINSPECTED_SENTINEL}' GROUP BY ALL),
+sums AS (
+  SELECT a.camis, a.inspection_date, CAST(SUM(b.n) AS BIGINT) AS rows_6m, CAST(SUM(b.scored) AS BIGINT) AS scored_6m, CAST(SUM(b.score) AS BIGINT) AS score_6m
+  FROM days a JOIN days b ON b.camis = a.camis AND b.inspection_date <= a.inspection_date
+    AND b.inspection_date > a.inspection_date - INTERVAL {fixed.TRAILING_MONTHS} MONTH
+  GROUP BY ALL)
+SELECT *, DATE_DIFF('day', LAG(inspection_date) OVER (PARTITION BY camis ORDER BY inspection_date), inspection_date) AS days_since_previous FROM sums""",
+    "area_percentiles": f"""
+SELECT camis, zipcode, inspection_date, score,
+  {_six("PERCENT_RANK() OVER (PARTITION BY zipcode ORDER BY score NULLS FIRST)")} AS percentile
+FROM (SELECT camis, zipcode, inspection_date, CAST(SUM(score) AS BIGINT) AS score FROM clean_restaurant
+      WHERE inspection_date <> TIMESTAMP '{fixed.UNINSPECTED_SENTINEL}' GROUP BY ALL)""",
+    "place_rollup": _subtotals("ROLLUP"),
+    "place_cube": _subtotals("CUBE"),
+    "sketched_buildings": f"""
+WITH seen AS (SELECT DISTINCT zipcode, bin, CAST(DATE_TRUNC('month', inspection_date) AS DATE) AS month FROM clean_rat WHERE zipcode IS NOT NULL AND bin IS NOT NULL)
+SELECT m.zipcode, CAST(m.month AS VARCHAR) AS month, COUNT(DISTINCT s.bin) AS buildings, TRUE AS estimate_is_close
+FROM (SELECT DISTINCT zipcode, month FROM seen) m
+JOIN seen s ON s.zipcode = m.zipcode AND s.month <= m.month AND s.month > m.month - INTERVAL {fixed.TRAILING_MONTHS} MONTH
+GROUP BY ALL""",
+    "incremental_risk_model": _compare("risk_model", f"{' '.join(fixed.COMBINED_WEIGHTS)} rat_risk_score {_PLACE}"),
     "rat_state_at_visit": _as_of(">="),
     "rat_state_before_visit": f"""
 SELECT * EXCLUDE (recent) REPLACE (CASE WHEN recent THEN rat_inspection_date END AS rat_inspection_date,

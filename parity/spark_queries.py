@@ -14,8 +14,8 @@ from sitegrade import fixed_values as fixed
 from sitegrade.functions import dates, scoring
 from sitegrade.functions.casts import to_coordinate, to_double, to_int, to_long, to_timestamp
 from sitegrade.functions.keys import hash_key
-from sitegrade.operators import building_risk, clean, combined_risk, quality, restaurant_risk, stage, temporal_joins
-from sitegrade.plans import pipeline
+from sitegrade.operators import building_risk, clean, combined_risk, frames, history, quality, restaurant_risk, rollups, stage, temporal_joins
+from sitegrade.plans import incremental, pipeline
 from sitegrade.session import configure, scratch_root
 from sitegrade.sources.sinks import TableStore, serving_cast, serving_clean
 
@@ -323,6 +323,70 @@ def _rat_findings_near_visits(layers: Layers) -> DataFrame:
     )
 
 
+# ------------------------------------------ histories, frames and subtotals
+
+DESCRIPTION = ["dba", "boro", "building", "street", "zipcode", "cuisine_description"]
+PLACES = ["boro", "zipcode", "street", "cuisine_description"]
+
+
+def _described(layers: Layers) -> DataFrame:
+    real = layers.clean_restaurant.where(stage.was_inspected(F.col("inspection_date")))
+    return real.select("camis", "inspection_date", *DESCRIPTION)
+
+
+def _establishment_history(layers: Layers) -> DataFrame:
+    seen = history.observations(_described(layers), ["camis"], "inspection_date", DESCRIPTION)
+    return history.history(seen, layers.store, ["camis"], "inspection_date", DESCRIPTION)
+
+
+def _merged_history(layers: Layers) -> DataFrame:
+    """The later half of the rows first, so the others come late and split stretches."""
+    rows = layers.store.save(_described(layers), "stage", "described")
+    late = F.col("inspection_date") < F.lit("1998-04-01").cast("timestamp_ntz")
+    for part in (~late, late):
+        merged = history.merge_history(rows.where(part), layers.store, ["camis"], "inspection_date", DESCRIPTION, "establishments")
+    return merged
+
+
+def _trailing_visit_scores(layers: Layers) -> DataFrame:
+    measures = {"rows_6m": F.count(F.lit(1)), "scored_6m": F.count("score"), "score_6m": F.sum("score")}
+    real = layers.clean_restaurant.where(stage.was_inspected(F.col("inspection_date"))).select("camis", "inspection_date", "score")
+    return frames.trailing_sums(real, layers.store, ["camis"], "inspection_date", fixed.TRAILING_MONTHS, measures)
+
+
+def _area_percentiles(layers: Layers) -> DataFrame:
+    real = layers.clean_restaurant.where(stage.was_inspected(F.col("inspection_date")))
+    visits = real.groupBy("camis", "zipcode", "inspection_date").agg(F.sum("score").alias("score"))
+    return frames.percent_ranks(visits, layers.store, ["zipcode"], "score")
+
+
+def _place_subtotals(layers: Layers, sets: list[list[str]]) -> DataFrame:
+    return rollups.grouping_sets(layers.clean_restaurant.select(*PLACES, "bin"), PLACES, sets, "bin", "violations", "buildings")
+
+
+def _sketched_buildings(layers: Layers) -> DataFrame:
+    """Buildings inspected in the half year up to each month, by street: counted, and estimated from stored monthly sketches."""
+    seen = layers.clean_rat.select("street", "zipcode", "bin", F.trunc(F.col("inspection_date").cast("date"), "month").alias("month"))
+    seen = layers.store.save(seen.where(F.col("zipcode").isNotNull() & F.col("bin").isNotNull()), "stage", "seen_buildings")
+    sketches = layers.store.save(rollups.distinct_sketches(seen, ["zipcode", "month"], "bin"), "mart", "building_sketches")
+    estimates = rollups.trailing_estimates(sketches, ["zipcode"], "month", fixed.TRAILING_MONTHS)
+    sent = seen.distinct().withColumn("_for", F.explode(F.transform(F.sequence(F.lit(0), F.lit(fixed.TRAILING_MONTHS - 1)), lambda k: F.add_months("month", k))))
+    exact = sent.groupBy("zipcode", F.col("_for").alias("month")).agg(F.count_distinct("bin").alias("buildings"))
+    close = F.abs(F.col("estimate") - F.col("buildings")) <= F.greatest(F.lit(1.0), 4 * rollups.relative_error() * F.col("buildings"))
+    return exact.join(estimates, ["zipcode", "month"]).select("zipcode", "month", "buildings", close.alias("estimate_is_close"))
+
+
+# ------------------------------------------------------- batches of the feeds
+
+
+def _incremental(layers: Layers) -> pipeline.Tables:
+    """All rows of both feeds in two batches: those recorded until the year's end, and the others."""
+    early = [F.col("record_date") < "2001", F.coalesce(F.col("approved_date") < "2001", F.lit(False))]
+    feeds = layers.raw_restaurant, layers.raw_rat
+    incremental.update(*(raw.where(part) for raw, part in zip(feeds, early)), layers.store, AS_OF)
+    return incremental.update(*(raw.where(~part) for raw, part in zip(feeds, early)), layers.store, AS_OF)
+
+
 # -------------------------------------------------------------- sinks, checks
 
 
@@ -435,6 +499,16 @@ _QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "rat_state_at_visit": _rat_state_at_visit,
     "rat_state_before_visit": lambda x: _rat_state_at_visit(x, exact=False, oldest="90 days"),
     "rat_findings_near_visits": _rat_findings_near_visits,
+    # histories, frames and subtotals
+    "establishment_history": _establishment_history,
+    "merged_establishment_history": _merged_history,
+    "trailing_visit_scores": _trailing_visit_scores,
+    "area_percentiles": _area_percentiles,
+    "place_rollup": lambda x: _place_subtotals(x, rollups.rollup_sets(PLACES)),
+    "place_cube": lambda x: _place_subtotals(x, rollups.cube_sets(PLACES)),
+    "sketched_buildings": _sketched_buildings,
+    # batches of the feeds
+    "incremental_risk_model": lambda x: _incremental(x).risk_model,
     # data checks
     "dq_not_null": lambda x: _checks(x, "not_null"),
     "dq_accepted_values": lambda x: _checks(x, "accepted_values"),

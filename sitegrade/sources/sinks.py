@@ -33,7 +33,8 @@ class TableStore:
     Each :meth:`save` writes a version folder of its own; Spark marks it when the
     write is complete, and readers take the newest marked one.  So a write that
     fails leaves the table as it was, and one that succeeds disturbs no reader:
-    the version before it stays until the next is written.
+    the version before it stays until the next is written.  A table has one
+    writer at a time.
     """
 
     root: str
@@ -58,8 +59,10 @@ class TableStore:
         fresh = f"{base}/{VERSION}{number:08d}"
         writer = df.write.mode("error")
         (writer.partitionBy(folders) if folders else writer).parquet(fresh)
-        for old in _complete(spark, base, versions)[:-1]:
-            _remove(spark, f"{base}/{old}")
+        kept = _complete(spark, base, versions)[-1:]
+        for old in versions:
+            if old.startswith(VERSION) and old not in kept:
+                _remove(spark, f"{base}/{old}")
         return spark.read.schema(df.schema).parquet(fresh)
 
     def read(
@@ -73,17 +76,17 @@ class TableStore:
         reader = spark.read if schema is None else spark.read.schema(schema)
         return reader.parquet(f"{base}/{versions[-1]}")
 
-    def save_folders(self, df: DataFrame, layer: str, table: str, column: str, touched: Collection[dt.date | None], spread: Sequence[str] = ()) -> None:
+    def save_folders(self, df: DataFrame, layer: str, table: str, column: str, touched: Collection[dt.date | None]) -> None:
         """Replace the ``touched`` folders of a table that has one for each value of ``column``; all rows of ``df`` belong to them.
 
         Folders that get no row go.  Others are neither read nor written.  ``df``
         may read the table itself: Spark moves the new files in when all are
-        written.
+        written.  A folder's rows meet in one task, or in several if they are many.
         """
         spark, base = df.sparkSession, self.path(layer, table)
         names = [f"{column}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}" for value in touched]
         before = {name: _children(spark, f"{base}/{name}") for name in names}
-        writer = df.repartitionByRange(column, *spread).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer = df.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(column).parquet(base)
         for name, files in before.items():
             if files and _children(spark, f"{base}/{name}") == files:  # the names of new files are new

@@ -205,10 +205,49 @@ def test_hot_areas_are_split_by_the_join(spark, stored, tmp_path, side, area, po
         assert "skew=true" in final_plan(scores(stats, "2001-07-01", streets, zips))
 
 
+@pytest.mark.parametrize("variants", [1, 3])
+def test_a_hot_visit_of_many_sites_is_split_by_the_join(spark, tmp_path, variants):
+    """A third of the site descriptions belong to one visit; its maxima are stored, so the join shuffles both sides."""
+    store = TableStore(str(tmp_path))
+    with splitting(spark):
+        hot = F.col("id") % 3 == 0
+        text = lambda name: F.sha2(F.concat(F.lit(name), F.col("id").cast("string")), 256).alias(name)
+        sites = spark.range(0, 12_000, 1, 8).select(
+            F.when(hot, F.lit(7)).otherwise(F.col("id").cast("int") + 100).alias("camis"),
+            F.concat(F.lit("d"), (F.col("id") % (3 * variants)).cast("string")).alias("dba"),
+            *[text(c) for c in ("boro", "building", "street", "zipcode")],
+            F.lit(1).alias("bin"), *[text(c) for c in ("bbl", "nta", "cuisine_description")],
+            F.when(hot, F.lit("2024-06-01")).otherwise(F.lit("2024-06-02")).cast("timestamp_ntz").alias("inspection_date"),
+            (F.col("id") % 5).alias("_severe"), (F.col("id") % 2).alias("_moderate"), F.lit(1).cast("bigint").alias("_critical_rows"),
+            F.lit(3.0).alias("avg_computed_score"), F.lit(65).alias("_grade_code"), F.lit(1.0).alias("latitude"), F.lit(1.0).alias("longitude"),
+            F.lit("2024-07-01").cast("date").alias("extract_date"),
+        )
+        sites = store.save(sites, "test", "sites")
+        maxima = store.save(restaurant_risk.visit_maxima(sites), "test", "maxima")
+        visits = restaurant_risk.visit_stats(sites, sites, maxima)
+        assert "skew=true" in final_plan(visits)
+        own = [i for i in range(0, 12_000, 3)]
+        found = visits.where("camis = 7").select("severe_vio_count", "moderate_vio_count", "total_critical_count").distinct().collect()
+        counts = [[sum(f(i) for i in own if i % (3 * variants) == v) for v in {i % (3 * variants) for i in own}] for f in (lambda i: i % 5, lambda i: i % 2)]
+        assert [tuple(r) for r in found] == [(max(counts[0]), max(counts[1]), variants * variants)]
+        assert visits.count() == 12_000
+
+
+def test_the_visit_query_joins_stored_maxima(spark, sf_dir):
+    read = lambda df: {re.search(r"/(\w+)/version-", f).group(1) for f in df.inputFiles()}
+    assert read(Layers(spark, sf_dir).visits) == {"site_visits", "visit_maxima"}
+    assert read(Layers(spark, sf_dir).stage_restaurant) == {"clean_restaurant_inspection", "visit_avg_score"}
+
+
+def test_checks_of_a_session_share_one_refresh(spark, sf_dir):
+    first, second = Layers(spark, sf_dir).stored, Layers(spark, sf_dir).stored
+    assert first is second
+
+
 def test_every_query_has_sql():
     from parity import oracle_sql
 
-    assert set(registry()) == set(oracle_sql.registry()) and len(registry()) == 61
+    assert set(registry()) == set(oracle_sql.registry()) and len(registry()) == 69
 
 
 def test_strictness_reaches_every_cast(spark, tmp_path):

@@ -84,6 +84,25 @@ def test_table_store_replaces(spark, tmp_path):
     assert store.read(spark, "mart", "t").count() == 2
 
 
+def test_a_failed_write_leaves_the_table_readable(spark, tmp_path):
+    store = sinks.TableStore(str(tmp_path))
+    assert not store.exists(spark, "mart", "t")
+    with pytest.raises(FileNotFoundError):
+        store.read(spark, "mart", "t")
+    old = store.save(spark.range(10), "mart", "t")
+    # Fails on the last rows, when other tasks have written theirs.
+    broken = spark.range(0, 1000, 1, 8).select(F.when(F.col("id") < 990, F.col("id")).otherwise(F.raise_error(F.lit("broken")).cast("long")).alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        store.save(broken, "mart", "t")
+    assert old.count() == store.read(spark, "mart", "t").count() == 10
+    # The next write may read the table itself, and takes the place of the failed one.
+    new = store.save(store.read(spark, "mart", "t").where("id < 3"), "mart", "t")
+    assert new.count() == store.read(spark, "mart", "t").count() == 3
+    assert old.count() == 10  # a reader of the version before is not disturbed
+    store.save(spark.range(1), "mart", "t")
+    assert len(list((tmp_path / "mart/t").glob("version-*"))) == 2
+
+
 def test_export(spark, tmp_path):
     path = sinks.export_path(str(tmp_path), "WH", "mart", "20240701", "risk")
     assert path == f"{tmp_path}/WH/mart/20240701/risk.parquet"
@@ -104,7 +123,7 @@ def test_tables_in_folders(spark, tmp_path):
     rows = spark.range(1000).selectExpr("id", "id % 7 AS day")
     stored = sinks.TableStore(str(tmp_path)).save(rows, "mart", "t", "day", ("id",))
     assert stored.columns == rows.columns and stored.exceptAll(rows).isEmpty() and stored.count() == 1000
-    assert sorted(p.name for p in (tmp_path / "mart/t").iterdir() if p.is_dir()) == [f"day={d}" for d in range(7)]
+    assert sorted(p.name for p in (tmp_path / "mart/t/version-00000001").iterdir() if p.is_dir()) == [f"day={d}" for d in range(7)]
 
 
 def test_serving_clean(spark):
