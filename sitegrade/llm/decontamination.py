@@ -92,16 +92,16 @@ def contained_items(docs: DataFrame, items: DataFrame, folder: str | None = None
     candidates = values.join(sketch, "hash").groupBy("doc", "row", "item").agg(F.count(F.lit(1)).alias("agree"))
     candidates = stored(candidates.drop("agree"), folder, "candidates")
 
-    wanted = candidates.groupBy("doc", "row").agg(F.collect_set("item").alias("items"))
-    texts = docs.select(*_ids(), "text").join(stored(wanted, folder, "wanted"), ["doc", "row"])
-    texts = texts.dropDuplicates(["doc", "row"]).select("doc", "row", "items", word_array().alias("words"))
+    # Each candidate costs the shingles of its item and each document its own once, however many items it may hold.
+    items_at = items.select("item", "item_id", F.size("shingles").alias("n_item"), F.explode("shingles").alias("shingle"))
+    wanted = candidates.join(items_at.drop("item_id", "n_item"), "item")
+    of_documents = docs.select(*_ids(), "text").join(candidates.select("doc", "row").distinct(), ["doc", "row"], "left_semi").dropDuplicates(["doc", "row"])
     all_shingles = F.concat(F.array().cast("array<string>"), *[shingle_texts(F.col("words"), n) for n in sorted(cuts)])
-    each = texts.select("doc", "row", all_shingles.alias("held"), F.explode("items").alias("item"))
-    shared = F.size(F.array_intersect("shingles", "held"))
-    verified = each.join(items.select("item", "item_id", "shingles"), "item").select(
-        F.when(F.col("doc") < LAST_ID, F.col("doc")).alias("doc_id"), "row", "item_id",
-        F.size("shingles").alias("n_item"), shared.alias("n_shared"),
-    )
+    held = of_documents.select("doc", "row", word_array().alias("words")).select("doc", "row", F.explode(F.array_distinct(all_shingles)).alias("shingle"))
+    held = held.join(items_at.select("shingle").distinct(), "shingle", "left_semi")
+    shared = wanted.join(held, ["doc", "row", "shingle"]).groupBy("doc", "row", "item").agg(F.count(F.lit(1)).cast("int").alias("n_shared"))
+    named = items_at.select("item", "item_id", "n_item").distinct()
+    verified = shared.join(named, "item").select(F.when(F.col("doc") < LAST_ID, F.col("doc")).alias("doc_id"), "row", "item_id", "n_item", "n_shared")
     return verified.withColumn("containment", F.col("n_shared") / F.col("n_item")).where(F.col("containment") >= containment - 1e-9)
 
 

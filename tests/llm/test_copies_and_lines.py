@@ -1,5 +1,6 @@
 import math
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -162,6 +163,17 @@ def test_unlike_texts_stay_without_an_id_or_under_one_id(spark):
     assert Counter((r.doc_id, tuple(words(r.text))) for r in stays.collect()) == Counter((i, tuple(words(t))) for i, t in unlike)
 
 
+def test_repeated_rows_are_shingled_once(spark, tmp_path):
+    rows = near_copies()
+    docs = odd_table(spark, rows).unionByName(odd_table(spark, rows[10:11]).crossJoin(spark.range(500)).drop("id"))
+    once = jaccard_join._one_of_equal_rows(docs.select(*jaccard_join._ids(), "text"), str(tmp_path))
+    assert once.count() == len(rows) and once.select("doc", "row").distinct().count() == len(rows)
+    found = {r.doc_id: (r.n_copies, r.n_links) for r in jaccard_join.jaccard_groups(docs).collect()}
+    wanted, _ = brute_groups(rows)
+    assert {i: v[1] for i, v in found.items()} == {i: links for i, _, _, links, _ in wanted}
+    assert found[rows[10][0]][0] == 501
+
+
 def test_pairs_are_dropped_only_below_the_tolerance():
     for n, least in jaccard_join.least_matches().items():
         beyond = lambda m: sum(math.comb(n + 1, j) * 0.8**j * 0.2 ** (n + 1 - j) for j in range(m + 1))  # noqa: B023, E731
@@ -227,6 +239,18 @@ def test_any_contained_item_shares_a_sketch_value(spark):
     assert {(r.doc_id, r.item_id, r.n_item, r.n_shared) for r in hits.collect()} == brute_contained(docs, items)
 
 
+def test_many_items_cost_a_long_document_little(spark):
+    words_of = lambda n, k: " ".join(f"t{n}x{j}" for j in range(k))
+    items = [(n, words_of(n, 30)) for n in range(800)]
+    inside = " ".join(t for n, t in items if n % 2 == 0)
+    docs = [(1, words_of("long", 60_000) + " " + inside), (2, words_of(1, 29)), (3, words_of(1, 20))]
+    known = spark.createDataFrame(items, "item_id long, text string")
+    started = time.time()
+    found = {(r.doc_id, r.item_id) for r in decontamination.contained_items(odd_table(spark, docs), known).collect()}
+    assert found == {(1, n) for n in range(0, 800, 2)} | {(2, 1)}
+    assert time.time() - started < 60
+
+
 def test_decontamination_is_native(spark, odd):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     plan = decontamination.contained_items(odd, items)._jdf.queryExecution().toString()
