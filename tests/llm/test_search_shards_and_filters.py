@@ -1,4 +1,5 @@
 import time
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -6,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from sitegrade.llm import licenses, sharding, topk, url_filter
-from sitegrade.llm.common import scratch
+from sitegrade.llm.common import scratch, table
 from sitegrade.llm.queries import URL_RULES, op6_sharding
 
 
@@ -75,6 +76,27 @@ def test_shards_of_odd_rows(spark, odd, nothing):
     assert sharding.shuffled_shards(nothing, 4, 1).count() == 0
 
 
+def test_sizes_and_digests_of_shards(spark, sf_dir):
+    texts = {r.doc_id: (r.text or "").encode() for r in table(spark, sf_dir, "documents").collect()}
+    found = {r.doc_id: (r["size"], r.text_crc32) for r in op6_sharding(spark, sf_dir).collect()}
+    assert found == {i: (len(t) + 1, zlib.crc32(t)) for i, t in texts.items()}
+
+
+def test_repeated_rows_scatter_and_files_do_not_matter(spark, tmp_path):
+    # A third of the rows are the same row.
+    same = F.col("id") % 3 == 0
+    docs = spark.range(6000).select(F.when(same, 1).otherwise(F.col("id")).alias("doc_id"), F.when(same, "the same text").otherwise(F.concat(F.lit("text "), "id")).alias("text"))
+    once = sharding.shuffled_shards(docs.coalesce(1), 8, 3, str(tmp_path / "a"), bucket_bytes=4000)
+    other = sharding.shuffled_shards(docs.repartition(7), 8, 3, str(tmp_path / "b"), bucket_bytes=4000)
+    assert once.count() == 6000 and once.exceptAll(other).isEmpty() and other.exceptAll(once).isEmpty()
+    numbered = sharding._numbered(docs, str(tmp_path / "c"))
+    assert numbered.count() == 6000 and numbered.where("__number > 0").count() == 1999
+    per_bucket = [r["count"] for r in numbered.groupBy(F.pmod(F.xxhash64(F.lit(3), "__key", "__other", "__number"), F.lit(25))).count().collect()]
+    assert len(per_bucket) == 25 and max(per_bucket) < 1.5 * 6000 / 25
+    copies = [r["count"] for r in once.where("doc_id = 1").groupBy("shard").count().collect()]
+    assert len(copies) == 8 and max(copies) < 1.5 * 2000 / 8
+
+
 def test_no_python_on_native_paths(spark, odd):
     pages = spark.createDataFrame([(1, "http://a.org/fr/x", "<a href='//b.net/'>b</a>")], "page_id long, url string, html string")
     for df in (sharding.shuffled_shards(odd, 4, 1), url_filter.judge(pages, URL_RULES)):
