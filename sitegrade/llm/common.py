@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +10,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
+from sitegrade.session import scratch_root
+
 SHINGLE_WORDS = 5
 PART_BYTES = 4 << 20
 _WORD = re.compile(r"[^\W_]+")
@@ -21,20 +22,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder in the one that ``spark.checkpoint.dir`` names, removed when the driver's JVM ends.
-
-    Where the setting is missing, the folder given to ``setCheckpointDir`` serves;
-    where that is missing, too, it is set to one beside the warehouse's tables.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints")
-        shared = spark.sparkContext.getCheckpointDir()
-    folder = f"{shared.rstrip('/')}/llm-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return folder
+    """A new folder in the shared one, removed when the driver's JVM ends."""
+    return scratch_root(spark, "llm")
 
 
 def stored(df: DataFrame, folder: str, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:

@@ -161,6 +161,16 @@ def _candidates(classes: DataFrame, folder: str) -> DataFrame:
     return stored(named.select("node", F.coalesce("label", "first").alias("label")), folder, "candidate-labels")
 
 
+def _one_of_equal_rows(texts: DataFrame, folder: str) -> DataFrame:
+    """``doc, row, text`` without repeats, which could fill a task: counted by their names first, so that only repeated rows are grouped."""
+    repeated = texts.groupBy("doc", "row").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("doc", "row")
+    repeated = stored(repeated, folder, "repeated")
+    if repeated.isEmpty():
+        return texts
+    once = texts.join(repeated, ["doc", "row"], "left_semi").groupBy("doc", "row").agg(F.first("text").alias("text"))
+    return texts.join(repeated, ["doc", "row"], "left_anti").unionByName(once)
+
+
 def _verify(docs: DataFrame, classes: DataFrame, labels: DataFrame, folder: str, threshold: float) -> DataFrame:
     """``key, links, parent`` of each linked class and task."""
     members = classes.select("key", "doc", "row", "n").join(labels.select(F.col("node").alias("key"), F.col("label").alias("component")), "key")
@@ -177,7 +187,7 @@ def _verify(docs: DataFrame, classes: DataFrame, labels: DataFrame, folder: str,
                 own = [shingles(hashes(words(text))).tobytes() for text in part.column(3).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(own, pa.binary())], names=["component", "key", "blocks", "shingles"])
 
-    texts = docs.select(*_ids(), F.col("text").cast("string")).join(members.select("doc", "row", "component", "key", "blocks"), ["doc", "row"])
+    texts = _one_of_equal_rows(docs.select(*_ids(), F.col("text").cast("string")), folder).join(members.select("doc", "row", "component", "key", "blocks"), ["doc", "row"])
     sets = texts.select("component", "key", "blocks", "text").mapInArrow(shingled, "component binary, key binary, blocks int, shingles binary")
     block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     met = sets.withColumn("block", block).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
@@ -186,7 +196,6 @@ def _verify(docs: DataFrame, classes: DataFrame, labels: DataFrame, folder: str,
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = []
-        pdf = pdf.drop_duplicates(["component", "low", "high", "key"])
         for (_, low, high), part in pdf.groupby(["component", "low", "high"], sort=False):
             if len(part) < 2:
                 continue
