@@ -577,6 +577,11 @@ FROM (SELECT bin, inspection_date, {_OUTCOMES} FROM clean_rat GROUP BY bin, insp
     "rat_zip_score": f"SELECT zipcode, {_six(_RAT_ZIP_SCORE)} AS zip_rr_score FROM rat_zip_stats",
     "combined_score": f"SELECT camis, dba, bin, {_six('rat_risk_score')} AS rat_risk_score FROM risk_model",
     "risk_category_counts": 'SELECT risk_category, COUNT(*) AS "rows" FROM risk_model GROUP BY risk_category',
+    "event_windows": f"""
+SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, event_type, COUNT(*) AS events, {_six('SUM(value)')} AS total
+FROM (SELECT CAST(DATE_TRUNC('day', ts) AS TIMESTAMP) AS window_start, event_type, value FROM events)
+WHERE window_start + INTERVAL 1 DAY <= (SELECT MAX(CAST(ts AS TIMESTAMP)) FROM events) - INTERVAL 2 DAY GROUP BY window_start, event_type""",
+    "streamed_work_orders": _compare("latest_work_order", dates=""),
     "establishment_history": _HISTORY,
     "merged_establishment_history": _HISTORY,
     "trailing_visit_scores": f"""

@@ -18,6 +18,7 @@ from sitegrade.operators import building_risk, clean, combined_risk, frames, his
 from sitegrade.plans import incremental, pipeline
 from sitegrade.session import configure, scratch_root
 from sitegrade.sources.sinks import TableStore, serving_cast, serving_clean
+from sitegrade.streaming import latest, windows
 
 AS_OF = star_feeds.AS_OF
 
@@ -387,6 +388,34 @@ def _incremental(layers: Layers) -> pipeline.Tables:
     return incremental.update(*(raw.where(~part) for raw, part in zip(feeds, early)), layers.store, AS_OF)
 
 
+# ------------------------------------------------------------------- streams
+
+
+def _event_files(layers: Layers) -> str:
+    """As a pattern: a stream takes a folder or a pattern, and the table may be one file."""
+    return f"{layers.sf_dir.rstrip('/')}/event[s].parquet"
+
+
+def _event_windows(layers: Layers) -> DataFrame:
+    path, folder = _event_files(layers), scratch_root(layers.spark)
+    closed, _ = windows.run(
+        layers.spark, path, layers.table("events").schema, f"{folder}/closed", f"{folder}/state", at="ts", width="1 day", delay="2 days",
+        ids=["event_id"], keys=["event_type"], measures={"events": F.count(F.lit(1)), "total": F.sum("value")},
+    )
+    return closed.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+def _streamed_work_orders(layers: Layers) -> DataFrame:
+    folder, key = scratch_root(layers.spark), "job_ticket_or_work_order_id"
+    events = layers.spark.readStream.schema(layers.table("events").schema).parquet(_event_files(layers))
+    raw = layers.spark.sql(star_feeds.RAW_RAT_SQL, events=events)
+    dated = raw.withColumns({c: to_timestamp(c) for c in ("inspection_date", "approved_date")})
+    rows = dated.select(key, "inspection_date", "approved_date", *clean.RAT_TIE_BREAK)
+    return latest.run(
+        layers.spark, rows, [key], ["inspection_date", "approved_date"], clean.RAT_TIE_BREAK, f"{folder}/news", f"{folder}/state", dt.timedelta(days=30)
+    )
+
+
 # -------------------------------------------------------------- sinks, checks
 
 
@@ -509,6 +538,9 @@ _QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "sketched_buildings": _sketched_buildings,
     # batches of the feeds
     "incremental_risk_model": lambda x: _incremental(x).risk_model,
+    # streams
+    "event_windows": _event_windows,
+    "streamed_work_orders": _streamed_work_orders,
     # data checks
     "dq_not_null": lambda x: _checks(x, "not_null"),
     "dq_accepted_values": lambda x: _checks(x, "accepted_values"),

@@ -247,7 +247,7 @@ def test_checks_of_a_session_share_one_refresh(spark, sf_dir):
 def test_every_query_has_sql():
     from parity import oracle_sql
 
-    assert set(registry()) == set(oracle_sql.registry()) and len(registry()) == 69
+    assert set(registry()) == set(oracle_sql.registry()) and len(registry()) == 71
 
 
 def test_strictness_reaches_every_cast(spark, tmp_path):
