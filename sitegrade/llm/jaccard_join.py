@@ -5,16 +5,18 @@
 2.  Signatures are cut into bands.  Classes that agree in a band are candidates;
     the candidates' graph falls apart into components, each held by stars, so
     no pairs are written.
-3.  The shingles of a component meet in one task, or in one task for each two
-    blocks of a large component.  There, pairs are compared a few MinHash values
-    at a time.  A pair is dropped as soon as the posterior probability that its
-    similarity reaches the threshold is below the tolerance.  The pairs that are
-    left are verified on their shingles.
+3.  The shingles of a component meet in one task.  A large component is cut into
+    blocks, near classes in the same one if they fit, and a class is sent only
+    to the blocks that hold a candidate of it.  In a task the pairs that agree
+    in a band are compared a few MinHash values at a time.  A pair is dropped as
+    soon as the posterior probability that its similarity reaches the threshold
+    is below the tolerance.  The pairs that are left are verified on their
+    shingles.
 4.  A task returns, for each class, its number of links and one edge of a
     spanning forest; the groups are the components of these edges.
 
 Candidates miss a pair of similarity s with probability (1 - s^4)^24, at 0.8
-three in a million, unless other members of their component join them, too.
+three in a million.
 """
 
 from __future__ import annotations
@@ -37,6 +39,7 @@ BANDS, BAND_ROWS = 24, 4
 HASHES = BANDS * BAND_ROWS
 STEP = 16
 BLOCK_SHINGLES = 1_000_000
+CLASS_SHINGLES = 2 * HASHES  # what a class takes besides its shingles: signature and buckets
 LAST_ID = (1 << 63) - 1
 
 _rng = np.random.default_rng(20090501)
@@ -81,6 +84,28 @@ def class_key(text: str, found: list[str]) -> bytes:
     return xxhash.xxh3_128_digest((" ".join(found) if found else "\n" + text).encode())
 
 
+def candidate_pairs(signatures: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, js) for each signature i with signatures js of a higher number that agree with it in a band; the work grows with these pairs."""
+    buckets = band_buckets(signatures).ravel()
+    order = np.argsort(buckets, kind="stable")
+    ends = np.append(np.flatnonzero(np.diff(buckets[order])) + 1, len(order))
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.arange(len(order))
+    until = ends[np.searchsorted(ends, place, side="right")].reshape(-1, BANDS)
+    after, members = (place + 1).reshape(-1, BANDS), order // BANDS
+    several = after < until
+    seen = np.zeros(len(signatures), dtype=bool)
+    for i in np.flatnonzero(several.any(axis=1)).tolist():
+        found = np.concatenate([members[x:y] for x, y in zip(after[i, several[i]].tolist(), until[i, several[i]].tolist())])
+        if len(found) * 8 < len(seen):
+            js = np.unique(found)
+        else:
+            seen[found] = True
+            js = np.flatnonzero(seen)
+            seen[js] = False
+        yield i, js
+
+
 def linked_pairs(sets: list[np.ndarray], pairs_of: np.ndarray, same: bool, threshold: float = THRESHOLD) -> Iterator[tuple[int, np.ndarray]]:
     """(i, js) for each set i with linked sets js of a higher number, from another block unless ``same``."""
     sizes = np.array([len(s) for s in sets])
@@ -89,8 +114,7 @@ def linked_pairs(sets: list[np.ndarray], pairs_of: np.ndarray, same: bool, thres
     numbers = np.unique(np.concatenate(sets), return_inverse=True)[1].ravel()
     starts = np.concatenate([[0], np.cumsum(sizes)])
     held = np.zeros(int(numbers.max()) + 1, dtype=np.int32)
-    for i in range(len(sets) - 1):
-        js = np.arange(i + 1, len(sets))
+    for i, js in candidate_pairs(signatures):
         if not same:
             js = js[pairs_of[js] != pairs_of[i]]
         js = js[np.minimum(sizes[js], sizes[i]) >= threshold * np.maximum(sizes[js], sizes[i]) - 1e-9]
@@ -138,8 +162,8 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.select(*_ids(), F.col("text").cast("string")).mapInArrow(sketch, "doc long, row long, key binary, n long, signature binary")
 
 
-def _candidates(classes: DataFrame, folder: str) -> DataFrame:
-    """``node, label``: components of the classes that agree in a band."""
+def _candidates(classes: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
+    """``key, hubs, first`` of the classes that agree with another in a band, and ``node, label``: the components of their hubs."""
 
     def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,9 +180,7 @@ def _candidates(classes: DataFrame, folder: str) -> DataFrame:
     near = bands.join(hubs, "bucket").groupBy("key").agg(F.collect_set("hub").alias("hubs")).select("key", "hubs", F.array_min("hubs").alias("first"))
     near = stored(near, folder, "near")
     edges = near.select(F.explode("hubs").alias("a"), F.col("first").alias("b")).distinct()
-    labels = components(edges, f"{folder}/candidates")
-    named = near.select(F.col("key").alias("node"), "first").join(labels.withColumnRenamed("node", "first"), "first", "left")
-    return stored(named.select("node", F.coalesce("label", "first").alias("label")), folder, "candidate-labels")
+    return near, components(edges, f"{folder}/candidates")
 
 
 def _one_of_equal_rows(texts: DataFrame, folder: str) -> DataFrame:
@@ -171,12 +193,34 @@ def _one_of_equal_rows(texts: DataFrame, folder: str) -> DataFrame:
     return texts.join(repeated, ["doc", "row"], "left_anti").unionByName(once)
 
 
-def _verify(docs: DataFrame, classes: DataFrame, labels: DataFrame, folder: str, threshold: float) -> DataFrame:
+def _members(classes: DataFrame, near: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
+    """``doc, row, key, n, component, block, others``: where each class goes, and the blocks that hold a candidate of it (its own, too).
+
+    Classes of one first hub share a block, or as many as they fill.  Candidates
+    share a hub, so the blocks of a class's hubs are all that it must meet.
+    """
+    load = F.col("n") + F.lit(CLASS_SHINGLES)
+    filled = lambda total: F.ceil(total / BLOCK_SHINGLES).cast("int")
+    members = classes.select("key", "doc", "row", "n").join(near.select("key", "first"), "key")
+    firsts = members.groupBy("first").agg(F.sum(load).alias("load")).join(labels.withColumnRenamed("node", "first"), "first", "left")
+    firsts = stored(firsts.select("first", "load", F.coalesce("label", "first").alias("component")), folder, "firsts")
+    sizes = stored(firsts.groupBy("component").agg(filled(F.sum("load")).alias("blocks")), folder, "sizes")
+    firsts = stored(firsts.join(sizes, "component").select("first", "component", "blocks", filled(F.col("load")).alias("span")), folder, "spans")
+    block = F.pmod(F.xxhash64("first") + F.pmod(F.xxhash64("key"), "span"), "blocks").cast("int")
+    members = stored(members.join(firsts, "first").select("doc", "row", "key", "n", "component", "blocks", block.alias("block")), folder, "members")
+    own = members.withColumn("others", F.array("block"))
+    if sizes.where("blocks > 1").isEmpty():
+        return own
+    held = members.where("blocks > 1").select("key", "block").join(near.select("key", F.explode("hubs").alias("hub")), "key")
+    held = stored(held, folder, "held")
+    met = stored(held.select("hub", F.col("block").alias("other")).distinct(), folder, "met")
+    others = stored(held.join(met, "hub").groupBy("key").agg(F.collect_set("other").alias("others")), folder, "others")
+    return own.where("blocks = 1").unionByName(members.where("blocks > 1").join(others, "key"))
+
+
+def _verify(docs: DataFrame, members: DataFrame, folder: str, threshold: float) -> DataFrame:
     """``key, links, parent`` of each linked class and task."""
-    members = classes.select("key", "doc", "row", "n").join(labels.select(F.col("node").alias("key"), F.col("label").alias("component")), "key")
-    sizes = members.groupBy("component").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
-    members = stored(members.join(stored(sizes, folder, "sizes"), "component"), folder, "members")
-    load = members.agg(F.coalesce(F.sum(F.col("n") * F.col("blocks")), F.lit(0))).first()[0]
+    load = members.agg(F.coalesce(F.sum((F.col("n") + F.lit(CLASS_SHINGLES)) * F.size("others")), F.lit(0))).first()[0]
     packs = max(1, math.ceil(load / BLOCK_SHINGLES))
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,13 +228,13 @@ def _verify(docs: DataFrame, classes: DataFrame, labels: DataFrame, folder: str,
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                own = [shingles(hashes(words(text))).tobytes() for text in part.column(3).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(own, pa.binary())], names=["component", "key", "blocks", "shingles"])
+                own = [shingles(hashes(words(text))).tobytes() for text in part.column(4).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(own, pa.binary())], names=["component", "key", "block", "others", "shingles"])
 
-    texts = _one_of_equal_rows(docs.select(*_ids(), F.col("text").cast("string")), folder).join(members.select("doc", "row", "component", "key", "blocks"), ["doc", "row"])
-    sets = texts.select("component", "key", "blocks", "text").mapInArrow(shingled, "component binary, key binary, blocks int, shingles binary")
-    block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
-    met = sets.withColumn("block", block).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    texts = _one_of_equal_rows(docs.select(*_ids(), F.col("text").cast("string")), folder)
+    texts = texts.join(members.select("doc", "row", "component", "key", "block", "others"), ["doc", "row"])
+    sets = texts.select("component", "key", "block", "others", "text").mapInArrow(shingled, "component binary, key binary, block int, others array<int>, shingles binary")
+    met = sets.withColumn("other", F.explode("others"))
     met = met.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
     met = met.withColumn("pack", F.pmod(F.xxhash64("component", "low", "high"), F.lit(packs)))
 
@@ -240,8 +284,8 @@ def jaccard_groups(docs: DataFrame, folder: str | None = None, threshold: float
     first = F.min(F.struct("doc", "row", "n", "signature")).alias("first")
     classes = sketched.groupBy("key").agg(first, F.count(F.lit(1)).alias("n_copies")).select("key", "first.*", "n_copies")
     classes = stored(classes, folder, "classes")
-    labels = _candidates(classes, folder)
-    found = stored(_verify(docs, classes, labels, folder, threshold), folder, "links")
+    members = _members(classes, *_candidates(classes, folder), folder)
+    found = stored(_verify(docs, members, folder, threshold), folder, "links")
     groups = components(found.select(F.col("key").alias("a"), F.col("parent").alias("b")), f"{folder}/groups")
     links = found.groupBy("key").agg(F.sum("links").alias("n_links"))
     named = classes.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))

@@ -145,6 +145,36 @@ def test_joins_equal_all_pairs(spark, monkeypatch, block):
     assert jaccard_join.one_of_each(odd_table(spark, rows), groups).count() == n_groups
 
 
+def chained(n, step=10):
+    """Texts of one component: each is like its neighbours and unlike the rest."""
+    return [(k, " ".join(f"v{w}" for w in range(k * step, k * step + 100))) for k in range(n)]
+
+
+def test_a_chained_component_costs_its_candidate_pairs():
+    rows = chained(1500)
+    sets = [jaccard_join.shingles(jaccard_join.WordHashes()(words(t))) for _, t in rows]
+    signatures = np.stack([jaccard_join.signature(s) for s in sets])
+    pairs = {(i, j) for i, js in jaccard_join.candidate_pairs(signatures) for j in js.tolist()}
+    buckets = jaccard_join.band_buckets(signatures)
+    assert pairs == {(i, j) for i in range(1500) for j in range(i + 1, min(1500, i + 30)) if (buckets[i] == buckets[j]).any()}
+    assert {(i, i + 1) for i in range(1499)} <= pairs and len(pairs) < 10 * 1500
+    linked = {(i, j) for i, js in jaccard_join.linked_pairs(sets, np.zeros(1500), True) for j in js.tolist()}
+    assert linked == {(i, i + 1) for i in range(1499)}
+
+
+def test_a_class_is_sent_only_to_blocks_with_candidates(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", 2000)
+    rows = chained(400)
+    docs = odd_table(spark, rows)
+    classes = jaccard_join.stored(jaccard_join.sketches(docs), str(tmp_path), "classes")
+    members = jaccard_join._members(classes, *jaccard_join._candidates(classes, str(tmp_path)), str(tmp_path)).collect()
+    blocks = members[0].blocks
+    assert len(members) == 400 and blocks >= 50 and sum(len(m.others) for m in members) < 400 * blocks / 3
+    assert all(m.block in m.others for m in members)
+    found = {r.doc_id: r.n_links for r in jaccard_join.jaccard_groups(docs).collect()}
+    assert found == {k: 2 - (k in (0, 399)) for k in range(400)}
+
+
 def test_joins_of_documents_and_odd_rows(spark, sf_dir, odd, nothing):
     for rows, docs in ((ODD_ROWS, odd), ([(r.doc_id, r.text) for r in table(spark, sf_dir, "documents").collect()], table(spark, sf_dir, "documents"))):
         groups = jaccard_join.jaccard_groups(docs)
