@@ -117,7 +117,7 @@ class CuckooFilter:
         return cls(int(row.buckets), cells, set(map(tuple, stash.tolist())))
 
 
-_FILTER = "shard int, buckets long, cells binary, stash binary"
+_FILTER = "shard int, buckets long, cells binary, stash binary, keys long"
 
 
 def line_key(line: Column) -> Column:
@@ -144,14 +144,18 @@ def line_keys(docs: DataFrame) -> DataFrame:
 class LineIndex:
     """The lines of a growing and shrinking set of documents.
 
-    Kept in ``folder``: the references, an append-only log, and the filters,
-    written anew for the shards that a change touches.  Only keys that a change
-    holds are counted anew.
+    Kept in ``folder``: the references, an append-only log, and the filters with
+    their numbers of keys, written anew for the shards that a change touches.
+    Only keys that a change holds are counted anew.  What grows is mended each
+    time it has doubled, so its cost is shared by the changes that caused it: a
+    filter without room is built again from the exact counts, shards of too many
+    keys are cut anew, and the log is summed up.
     """
 
     def __init__(self, spark: SparkSession, folder: str | None = None, shards: int | None = None):
         self.spark, self.folder, self.shards = spark, folder or scratch(spark), shards
-        self.epoch, self.references, self.filters = 0, None, None
+        self.epoch, self.references, self.filters, self.shared = 0, None, None, None
+        self.rows, self.summed = 0, 0  # of the log, now and when it was last summed up
 
     def _shard(self) -> Column:
         return F.pmod("h1", F.lit(self.shards)).cast("int").alias("shard")
@@ -161,46 +165,65 @@ class LineIndex:
         held = references.groupBy("h1", "h2", "doc").agg(F.sum("sign").alias("held")).where("held > 0")
         return held.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc").alias("owner"))
 
+    def _held_twice(self, references: DataFrame) -> DataFrame:
+        return self._live(references).where("n_docs > 1")
+
     def _change(self, change: DataFrame) -> None:
         """Appends ``h1, h2, doc, sign`` and brings the filters up to date."""
         self.epoch += 1
         change = stored(change, self.folder, f"references-{self.epoch}")
-        if self.shards is None:
-            self.shards = max(1, math.ceil(change.count() / KEYS_PER_SHARD))
-        before, self.references = self.references, change if self.references is None else self.references.unionByName(change)
-        touched = change.select("h1", "h2").distinct()
-        now = self._live(self.references.join(touched, ["h1", "h2"], "left_semi") if before is not None else change).where("n_docs > 1").select("h1", "h2", F.lit(1).alias("now"))
-        if before is None:
-            moves = now.select("h1", "h2", F.lit(True).alias("comes"))
+        came = change.count()
+        if self.references is None:
+            self.references, self.rows, self.summed = change, came, came
+            self.shards = self.shards or max(1, math.ceil(came / KEYS_PER_SHARD))
+            self.shared = stored(self._held_twice(change).select("h1", "h2", "owner"), self.folder, f"shared-{self.epoch}")
+            moves = self.shared.select("h1", "h2", F.lit(True).alias("comes"))
         else:
-            was = self._live(before.join(touched, ["h1", "h2"], "left_semi")).where("n_docs > 1").select("h1", "h2", F.lit(1).alias("was"))
+            before, self.references, self.shared = self.references, self.references.unionByName(change), None
+            # Stored, so that the join can split a line with many references.
+            touched = stored(change.select("h1", "h2").distinct(), self.folder, f"touched-{self.epoch}")
+            was, now = (self._held_twice(log.join(touched, ["h1", "h2"], "left_semi")).select("h1", "h2", F.lit(1).alias(name)) for log, name in ((before, "was"), (self.references, "now")))
             moves = now.join(was, ["h1", "h2"], "full_outer").where("now is null or was is null").select("h1", "h2", F.col("was").isNull().alias("comes"))
-        moves = stored(moves.withColumn("shard", self._shard()), self.folder, f"moves-{self.epoch}")
-        self._update(moves)
+            self.rows += came
+        self._update(stored(moves, self.folder, f"moves-{self.epoch}"))
+        if self.rows > 2 * self.summed:
+            log = self.references.groupBy("h1", "h2", "doc").agg(F.sum("sign").alias("sign")).where("sign <> 0")
+            self.references = stored(log, self.folder, f"log-{self.epoch}")
+            self.rows = self.summed = self.references.count()
 
     def _update(self, moves: DataFrame) -> None:
-        """New filters of the shards in ``moves``; one that would outgrow its filter is built again from the exact counts."""
+        """New filters of the shards in ``moves`` (``h1, h2, comes``)."""
         old = self.filters if self.filters is not None else self.spark.createDataFrame([], _FILTER)
-        totals = moves.groupBy("shard").agg(F.sum(F.when(F.col("comes"), 1).otherwise(0)).alias("come"))
-        sized = totals.join(old.select("shard", (F.col("buckets") * int(_SLOTS * _LOAD * 10) / 10).alias("room"), F.length("cells").alias("used")), "shard", "left")
+        sign = F.when(F.col("comes"), 1).otherwise(-1)
+        if self.filters is not None:
+            more = moves.agg(F.coalesce(F.sum(sign), F.lit(0))).first()[0] + old.agg(F.coalesce(F.sum("keys"), F.lit(0))).first()[0]
+            needed = math.ceil(more / KEYS_PER_SHARD)
+            if needed > 2 * self.shards:
+                self.shards = needed
+                old = self.spark.createDataFrame([], _FILTER)
+                moves = stored(self._held_twice(self.references).select("h1", "h2", F.lit(True).alias("comes")), self.folder, f"anew-{self.epoch}")
+        moves = moves.withColumn("shard", self._shard())
         if self.filters is not None:
-            held = self._live(self.references).where("n_docs > 1").select("h1", "h2", self._shard())
-            full = held.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).join(sized, "shard").where("room is null or n > room").select("shard", F.lit(True).alias("full"))
-            full = stored(full, self.folder, f"full-{self.epoch}")
-            rebuilt = held.join(full.select("shard"), "shard", "left_semi").select("h1", "h2", F.lit(True).alias("comes"), "shard")
-            moves = moves.join(full, "shard", "left_anti").unionByName(rebuilt)
-            old = old.join(full, "shard", "left_anti")
+            room = F.col("buckets") * int(_SLOTS * _LOAD * 10) / 10
+            full = moves.groupBy("shard").agg(F.sum(sign).alias("more")).join(old.select("shard", "keys", room.alias("room")), "shard").where("keys + more > room")
+            full = stored(full.select("shard"), self.folder, f"full-{self.epoch}")
+            if not full.isEmpty():
+                own = self.references.withColumn("shard", self._shard()).join(full, "shard", "left_semi")
+                rebuilt = self._held_twice(own).select("h1", "h2", F.lit(True).alias("comes"), self._shard())
+                moves = moves.join(full, "shard", "left_anti").unionByName(rebuilt)
+                old = old.join(full, "shard", "left_anti")
 
         def update(key, changes: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
-            columns = ["shard", "buckets", "cells", "stash"]
+            columns = ["shard", "buckets", "cells", "stash", "keys"]
             if not len(changes):
                 return filters[columns]
             comes = changes.comes.to_numpy(dtype=bool)
             own = CuckooFilter.of(next(filters.itertuples())) if len(filters) else CuckooFilter.sized(int(comes.sum()))
+            keys = int(filters["keys"].sum()) + int(comes.sum()) - int((~comes).sum())
             h1, h2 = changes.h1.to_numpy(), changes.h2.to_numpy()
             own.remove(h1[~comes], h2[~comes])
             own.add(h1[comes], h2[comes])
-            return pd.DataFrame([own.row(int(key[0]))], columns=columns)
+            return pd.DataFrame([own.row(int(key[0])) | {"keys": keys}], columns=columns)
 
         new = moves.groupBy("shard").cogroup(old.groupBy("shard")).applyInPandas(update, _FILTER)
         self.filters = stored(new, self.folder, f"filters-{self.epoch}")
@@ -237,7 +260,10 @@ class LineIndex:
 
         passed = cut.groupBy("shard", "part").cogroup(copies.groupBy("shard", "part")).applyInPandas(screen, "doc long, row long, at int, h1 long, h2 long")
         passed = stored(passed, self.folder, f"passed-{self.epoch}")
-        shared = stored(self._live(self.references).where("n_docs > 1").select("h1", "h2", "owner"), self.folder, f"shared-{self.epoch}")
+        shared = self.shared
+        if shared is None:
+            asked = stored(passed.select("h1", "h2").distinct(), self.folder, f"asked-{self.epoch}")
+            shared = stored(self._held_twice(self.references.join(asked, ["h1", "h2"], "left_semi")).select("h1", "h2", "owner"), self.folder, f"shared-{self.epoch}")
         dropped = passed.join(shared, ["h1", "h2"]).where("doc <> owner")
         return dropped.groupBy("doc", "row").agg(F.collect_set("at").alias("drops"))
 

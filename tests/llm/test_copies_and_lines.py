@@ -81,6 +81,29 @@ def test_line_index_is_reversible(spark):
     assert Counter((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in out.collect()) == kept_lines(rows)
 
 
+def test_line_index_grows_with_its_lines(spark, monkeypatch):
+    """More shards, larger filters and a log summed up leave the exact result; the filters' numbers of keys stay true."""
+    monkeypatch.setattr(line_dedup, "KEYS_PER_SHARD", 40)
+    rnd = random.Random(9)
+    index, rows = line_dedup.LineIndex(spark), []
+    shards = []
+    for turn, size in enumerate((4, 30, 60)):
+        lines = [f"line number {n} of pool {turn}" for n in range(size * 3)]
+        new = [(1000 * turn + i, "\n".join(rnd.choices(lines, k=6))) for i in range(size)]
+        index.insert(line_dedup.line_keys(odd_table(spark, new)))
+        rows += new
+        shards.append(index.shards)
+    index.delete(spark.createDataFrame([(r[0],) for r in rows if r[0] % 2], "doc_id long"))
+    rows = [r for r in rows if r[0] % 2 == 0]
+    docs = odd_table(spark, rows)
+    out = line_dedup.without(docs, index.drops(line_dedup.line_keys(docs)))
+    assert Counter((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in out.collect()) == kept_lines(rows)
+    exact = index._held_twice(index.references).groupBy(index._shard()).count()
+    kept = {r.shard: r["keys"] for r in index.filters.where("keys > 0").collect()}
+    assert kept == {r.shard: r["count"] for r in exact.collect()}
+    assert shards[0] < shards[-1] and index.rows <= 2 * index.summed
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(f"{a:03}", f"{a + 1:03}") for a in range(50)] + [("100", f"{b}") for b in range(101, 140)] + [("200", "200")]
     found = {r.node: r.label for r in components(spark.createDataFrame(edges, "a string, b string"), scratch(spark)).collect()}
