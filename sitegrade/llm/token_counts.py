@@ -23,10 +23,14 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from sitegrade.llm.common import parts
+
 MARK = "▁"  # stands for a space
 _UNIT = re.compile(r" +[^ \n]*|\n[^ \n]*")
 _UNKNOWN = -1
 _PAIR = 1 << 24  # more than any vocabulary holds
+LONG_UNIT = 1000  # longer units are not remembered: they hardly come again
+UNIT_BYTES = 200  # what a remembered unit takes besides its characters, of up to five bytes with their steps
 
 SCHEMA = "doc_id long, n_bytes long, n_chars long, n_tokens long, fit_chars long, prefix_steps binary"
 
@@ -34,7 +38,7 @@ SCHEMA = "doc_id long, n_bytes long, n_chars long, n_tokens long, fit_chars long
 class PrefixCounter:
     """Counts the tokens of every prefix as the given sentencepiece BPE model makes them."""
 
-    def __init__(self, model_path: str, remembered: int = 300_000):
+    def __init__(self, model_path: str, remembered_bytes: int = 64 << 20):
         model = sentencepiece.SentencePieceProcessor(model_file=model_path)
         usual = (i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)))
         self.vocabulary = {model.id_to_piece(i).replace(MARK, " "): i for i in usual}
@@ -45,7 +49,8 @@ class PrefixCounter:
         #: every ending of every piece; the piece's id, or -1 where the ending is none
         self.suffixes = {piece[k:]: -1 for piece in self.vocabulary for k in range(len(piece))} | self.vocabulary
         self.fits: dict[int, bool] = {}
-        self.remembered, self.new, self.old = remembered, {}, {}
+        #: units and their steps, the newer and the older ones, each of at most so many bytes and a batch's
+        self.remembered_bytes, self.new_bytes, self.new, self.old = remembered_bytes, 0, {}, {}
 
     def _encode(self, text: str) -> list[str]:
         """Byte-pair encoding of a short text by its definition: merge the best pair, the leftmost of equals."""
@@ -109,6 +114,7 @@ class PrefixCounter:
                 missing.add(unit)
             else:
                 self.new[unit] = known
+                self.new_bytes += UNIT_BYTES + 5 * len(unit)
         self._fill(missing)
         out = []
         for units in split:
@@ -118,8 +124,13 @@ class PrefixCounter:
             if len(own):
                 own[0] += steps[0]
             out.append(own)
-        if len(self.new) > self.remembered:
-            self.new, self.old = {}, self.new
+        for unit in missing:
+            if len(unit) > LONG_UNIT:
+                del self.new[unit]
+            else:
+                self.new_bytes += UNIT_BYTES + 5 * len(unit)
+        if self.new_bytes > self.remembered_bytes:
+            self.new, self.old, self.new_bytes = {}, self.new, 0
         return out
 
 
@@ -165,18 +176,16 @@ def prefix_counts(docs: DataFrame, model_path: str, budget: int, keep_steps: boo
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(model_path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                rows = []
-                texts = [text or "" for text in part.column(1).to_pylist()]
-                for text, steps in zip(texts, counter.steps(texts)):
-                    total = int(steps.sum(dtype=np.int64))
-                    fit = len(text) if total <= budget else longest_prefix(steps, budget)
-                    rows.append((len(text.encode()), len(text), total, fit, steps.tobytes() if keep_steps else None))
-                numbers = [pa.array([r[k] for r in rows], pa.int64()) for k in range(4)]
-                kept = pa.array([r[4] for r in rows], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), *numbers, kept], names=["doc_id", "n_bytes", "n_chars", "n_tokens", "fit_chars", "prefix_steps"])
+        for part in (few.slice(at, 256) for batch in batches for few in parts(batch, 1) for at in range(0, few.num_rows, 256)):
+            rows = []
+            texts = [text or "" for text in part.column(1).to_pylist()]
+            for text, steps in zip(texts, counter.steps(texts)):
+                total = int(steps.sum(dtype=np.int64))
+                fit = len(text) if total <= budget else longest_prefix(steps, budget)
+                rows.append((len(text.encode()), len(text), total, fit, steps.tobytes() if keep_steps else None))
+            numbers = [pa.array([r[k] for r in rows], pa.int64()) for k in range(4)]
+            kept = pa.array([r[4] for r in rows], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column(0), *numbers, kept], names=["doc_id", "n_bytes", "n_chars", "n_tokens", "fit_chars", "prefix_steps"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(count, T.StructType.fromDDL(SCHEMA))
 

@@ -14,7 +14,7 @@ from sitegrade.llm.common import table
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 MODEL = sentencepiece.SentencePieceProcessor(model_file=PIECES)
-COUNTER = token_counts.PrefixCounter(PIECES, remembered=50)
+COUNTER = token_counts.PrefixCounter(PIECES, remembered_bytes=10_000)
 TOKENIZER = Tokenizer.from_file(BYTES)
 PART = st.sampled_from([" ", "  ", "\n", "a", "the", "ing", "é", "▁", "<s>", "<0x0A>", "漢", "　", "\x00", "🙂", "12", "..."])
 
@@ -26,6 +26,16 @@ def test_every_prefix_has_the_count_of_its_own_encoding(text):
     assert counts == [len(MODEL.encode(text[: i + 1])) for i in range(len(text))]
 
 
+def test_units_are_remembered_by_their_bytes():
+    counter = token_counts.PrefixCounter(PIECES, remembered_bytes=100_000)
+    texts = ["漢字仮名" * n for n in range(1, 240)] + ["a" * 3000 + str(n) for n in range(20)] + ["é" * 5000]
+    for at in range(0, len(texts), 20):
+        for text, steps in zip(texts[at : at + 20], counter.steps(texts[at : at + 20])):
+            assert int(steps.sum(dtype=int)) == len(MODEL.encode(text))
+        assert all(len(unit) <= token_counts.LONG_UNIT for kept in (counter.new, counter.old) for unit in kept)
+        assert counter.new_bytes <= 100_000 and sum(map(len, counter.old)) < 100_000
+
+
 def test_counts_of_all_documents(spark, sf_dir):
     rows = queries.op4_token_counts(spark, sf_dir).collect()
     texts = {r.doc_id: r.text or "" for r in table(spark, sf_dir, "documents").collect()}
