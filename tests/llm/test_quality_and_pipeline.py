@@ -68,6 +68,19 @@ def test_exactly_k_are_drawn(spark):
         assert values.where(F.col("v") >= cut).count() == k
 
 
+def test_the_draw_is_a_gumbel_top_k(spark):
+    docs, labels = (table(spark, "/root/testdata/sf0.01", name) for name in ("documents", "labels"))
+    selection = resampling.select(docs, labels)
+    bits = F.xxhash64(F.lit(resampling.SEED), "doc", "row").alias("bits")
+    rows = selection.scored.select("doc", "row", "log_weight", bits).collect()
+    uniform = np.array([((r.bits % 2**64 >> 11) + 0.5) / 2**53 for r in rows])
+    noise = -np.log(-np.log(uniform))
+    assert abs(noise.mean() - np.euler_gamma) < 5 * noise.std() / len(rows) ** 0.5 and abs(noise.std() - np.pi / 6**0.5) < 0.15
+    best = np.argsort(-(np.array([r.log_weight for r in rows]) + noise), kind="stable")[: selection.k]
+    drawn = selection.scored.where(F.col("perturbed") >= selection.threshold).select("doc", "row").collect()
+    assert 0 < selection.k < len(rows) and {tuple(r) for r in drawn} == {(rows[i].doc, rows[i].row) for i in best.tolist()}
+
+
 def test_quality_of_odd_rows(spark, odd, nothing):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     odd_labels = spark.createDataFrame([(None, 1, 0), (3, None, 1), (5, 1, None), (6, 1, 0), (6, 0, 0), (77, 1, 0)], "doc_id long, quality int, toxic int")
