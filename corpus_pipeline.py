@@ -55,7 +55,7 @@ STAGES = [
     ("packing", sequences),
 ]
 
-# Models, MinHash pruning and tokens are not SQL; tests compare the stages with brute force.
+# Models, MinHash pruning and tokens are not SQL; the operators of the stages are compared with brute force, each in its own tests.
 ORACLE_SQL = None
 
 
