@@ -9,19 +9,30 @@ The sum over the segments bounds the score from above, or in other words the
 distance |q|^2 + |x|^2 - 2 q.x from below.  More segments give tighter bounds
 at a higher cost, so each level only looks at what the one before it left, and
 exact scores are computed for the survivors of the last.
+
+The same statistics keep whole blocks of rows apart.  Rows whose segments lie on
+the same side of their mean are dealt to the same block; a block's box, the least
+and the largest of each statistic, bounds the score of a query with any of its
+rows.  Each query is first scored against the block whose middle suits it best,
+and goes on to those blocks alone whose box reaches its k-th score so far.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from sitegrade.llm.common import scratch, stored
 
 LEVELS = (1, 4, 16)
 QUERY_BLOCK = 2048
-ROW_BLOCK = 16384
+ROW_BLOCK = 4096
+PAGE = 4096  # boxes that meet a block of queries in one task, about 1 KB each
+LAST_ID = (1 << 63) - 1
 
 
 def quantised(df: DataFrame, vector: str = "embedding", scale: int = 64) -> DataFrame:
@@ -40,8 +51,8 @@ def _statistics(vectors: np.ndarray, segments: int) -> np.ndarray:
     return np.stack([m * math.sqrt(p.shape[1]) for p, m in zip(parts, means)] + rests, axis=1)
 
 
-def block_top_k(query_ids, queries, row_ids, rows, k: int, levels=LEVELS) -> list[tuple[int, int, int]]:
-    """(position of the query, row id, score) of each query's k best rows of this block."""
+def block_top_k(query_ids, queries, row_ids, rows, k: int, levels=LEVELS, floors=None) -> list[tuple[int, int, int]]:
+    """(position of the query, row id, score) of each query's k best rows of this block, without those below its floor where it has one."""
     exact = float(np.abs(queries).max(initial=0)) * float(np.abs(rows).max(initial=0)) * max(1, rows.shape[1]) < 2**52
     wide_q, wide_r = queries.astype(np.float64), rows.astype(np.float64)
     stats = [(_statistics(wide_q, s), _statistics(wide_r, s)) for s in levels]
@@ -50,7 +61,7 @@ def block_top_k(query_ids, queries, row_ids, rows, k: int, levels=LEVELS) -> lis
     for at, own in enumerate(query_ids):
         query = wide_q[at] if exact else queries[at]
         alive = np.flatnonzero(row_ids != own)
-        floor = None
+        floor = None if floors is None or np.isnan(floors[at]) else floors[at]
         for of_queries, of_rows in stats:
             bounds = of_rows[alive] @ of_queries[at]
             slack = 1e-9 * (1 + np.abs(bounds))
@@ -66,7 +77,151 @@ def block_top_k(query_ids, queries, row_ids, rows, k: int, levels=LEVELS) -> lis
     return found
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int, query_block: int = QUERY_BLOCK, row_block: int = ROW_BLOCK) -> DataFrame:
+def _matrix(vectors: pd.Series) -> np.ndarray:
+    return np.stack([np.asarray(v, dtype=np.int64) for v in vectors])
+
+
+def _all_statistics(vectors: np.ndarray) -> np.ndarray:
+    return np.concatenate([_statistics(vectors.astype(np.float64), s) for s in LEVELS], axis=1)
+
+
+def _levels(width: int) -> Iterator[tuple[slice, slice]]:
+    """Where means and rests of each level stand among all statistics of vectors of this width."""
+    at = 0
+    for segments in (min(s, max(1, width)) for s in LEVELS):
+        yield slice(at, at + segments), slice(at + segments, at + 2 * segments)
+        at += 2 * segments
+
+
+@F.pandas_udf(T.LongType())
+def _side(vectors: pd.Series) -> pd.Series:
+    """A bit for each segment of the finest level: whether its mean lies above the vector's own."""
+    out = np.zeros(len(vectors), dtype=np.int64)
+    for i, v in enumerate(vectors):
+        if len(v):
+            parts = np.array_split(np.asarray(v, dtype=np.float64), min(LEVELS[-1], len(v)))
+            mean = np.mean(v)
+            out[i] = sum(1 << n for n, p in enumerate(parts) if p.mean() > mean)
+    return pd.Series(out)
+
+
+def placed(vectors: DataFrame, block: str, size: int, folder: str) -> DataFrame:
+    """``vectors`` with ``width, key`` and ``block``: runs of about ``size`` rows in the order of width, sides and id; one vector under many ids spans many blocks."""
+    sided = vectors.select("vec_id", "vector", F.size("vector").alias("width"), F.xxhash64("vec_id", "vector").alias("key"), _side("vector").alias("side"))
+    sided = stored(sided, folder, f"{block}-sides")
+    blocks = max(1, math.ceil(sided.count() / size))
+    dealt = sided.repartitionByRange(blocks, "width", "side", "vec_id", "key").withColumn(block, F.spark_partition_id()).drop("side")
+    return stored(dealt, folder, block)
+
+
+def boxes(rows: DataFrame) -> DataFrame:
+    """``row_block, width, n, least_id, low, high, middle`` of each block's rows of one width."""
+    schema = "row_block int, width int, n long, least_id long, low array<double>, high array<double>, middle array<double>"
+
+    def summed(row_block, width, n, least_id, low, high, total):
+        return row_block, width, n, least_id, low.tolist(), high.tolist(), total.tolist()
+
+    def of_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for (block, width), part in pdf.groupby(["row_block", "width"]):
+                stats = _all_statistics(_matrix(part.vector))
+                out.append(summed(block, width, len(part), part.vec_id.min(), stats.min(axis=0), stats.max(axis=0), stats.sum(axis=0)))
+            yield pd.DataFrame(out, columns=["row_block", "width", "n", "least_id", "low", "high", "middle"])
+
+    def merged(pdf: pd.DataFrame) -> pd.DataFrame:
+        low, high, total = (np.stack(pdf[c].to_list()) for c in ("low", "high", "middle"))
+        n = pdf.n.sum()
+        row = summed(pdf.row_block.iloc[0], pdf.width.iloc[0], n, pdf.least_id.min(), low.min(axis=0), high.max(axis=0), total.sum(axis=0) / n)
+        return pd.DataFrame([row], columns=pdf.columns)
+
+    parts = rows.select("row_block", "width", "vec_id", "vector").mapInPandas(of_batches, schema)
+    return parts.groupBy("row_block", "width").applyInPandas(merged, schema)
+
+
+def _bounds_reach(stats: np.ndarray, floors: np.ndarray, floor_ids: np.ndarray, low: np.ndarray, high: np.ndarray, least_ids: np.ndarray, width: int) -> np.ndarray:
+    """Whether a row of a box can come before a query's k-th so far, for each query and box; without a floor, every one can."""
+    first, rest = next(_levels(width))
+    norms = np.sqrt(np.maximum(low[:, first] ** 2, high[:, first] ** 2) + high[:, rest] ** 2).sum(axis=1)
+    slack = 1e-9 * (1 + np.sqrt((stats[:, first] ** 2 + stats[:, rest] ** 2).sum(axis=1))[:, None] * norms)
+    alive = np.ones((len(stats), len(low)), dtype=bool)
+    for means, rests in _levels(width):
+        at = np.flatnonzero(alive.any(axis=0))
+        above, below = np.maximum(stats[:, means], 0), np.minimum(stats[:, means], 0)
+        bound = above @ high[at, means].T + below @ low[at, means].T + stats[:, rests] @ high[at, rests].T
+        most = np.floor(bound + slack[:, at])  # scores are whole numbers
+        tied = (most == floors[:, None]) & (least_ids[at] <= floor_ids[:, None])
+        alive[:, at] &= np.isnan(floors)[:, None] | (most > floors[:, None]) | tied
+    return alive
+
+
+def _anew(*names: str) -> list[Column]:
+    """The columns as new ones, so that both sides of a cogroup may stem from one table."""
+    return [F.col(n).alias(n) for n in names]
+
+
+def _with_boxes(queries: DataFrame, of_rows: DataFrame, judge, schema: str) -> DataFrame:
+    """``judge(queries, boxes)`` for each block of queries and each page of boxes of its width."""
+    page = F.floor(F.col("row_block") / PAGE).cast("long").alias("page")
+    widths = queries.select(*_anew("width", "query_block")).distinct()
+    pages = of_rows.select(*_anew("width"), page).distinct()
+    asked = queries.join(pages, "width").groupBy("width", "query_block", "page")
+    offered = of_rows.withColumn("page", page).join(widths, "width").groupBy("width", "query_block", "page")
+    return asked.cogroup(offered).applyInPandas(judge, schema)
+
+
+def nearest_block(queries: DataFrame, of_rows: DataFrame) -> DataFrame:
+    """``vec_id, key, row_block``: the block whose middle has the highest bound with the query; of equal ones the first."""
+
+    def judge(asking: pd.DataFrame, offered: pd.DataFrame) -> pd.DataFrame:
+        if not len(asking) or not len(offered):
+            return pd.DataFrame({"vec_id": [], "key": [], "row_block": [], "suits": []}).astype({"vec_id": "int64", "key": "int64", "row_block": "int32"})
+        offered = offered.sort_values("row_block")
+        matrix = _matrix(asking.vector)
+        means, _ = list(_levels(matrix.shape[1]))[-1]
+        suits = _all_statistics(matrix)[:, means] @ np.stack(offered.middle.to_list())[:, means].T
+        best = suits.argmax(axis=1)
+        return pd.DataFrame({"vec_id": asking.vec_id.to_numpy(), "key": asking.key.to_numpy(), "row_block": offered.row_block.to_numpy()[best], "suits": suits[np.arange(len(best)), best]})
+
+    each = _with_boxes(queries, of_rows, judge, "vec_id long, key long, row_block int, suits double")
+    best: Column = F.max(F.struct("suits", (-F.col("row_block")).alias("last")))
+    return each.groupBy("vec_id", "key").agg(best.alias("best")).select("vec_id", "key", (-F.col("best.last")).alias("row_block"))
+
+
+def reachable_blocks(queries: DataFrame, of_rows: DataFrame) -> DataFrame:
+    """``vec_id, key, row_block``: the blocks that may hold one of a query's k best rows, but for its ``nearest``; ``queries`` have ``floor, floor_id`` of the k-th row so far."""
+
+    def judge(asking: pd.DataFrame, offered: pd.DataFrame) -> pd.DataFrame:
+        at, of = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        if len(asking) and len(offered):
+            matrix = _matrix(asking.vector)
+            low, high = np.stack(offered.low.to_list()), np.stack(offered.high.to_list())
+            blocks, ids = offered.row_block.to_numpy(), asking.floor_id.to_numpy()
+            alive = _bounds_reach(_all_statistics(matrix), asking.floor.to_numpy(dtype=np.float64), ids, low, high, offered.least_id.to_numpy(), matrix.shape[1])
+            at, of = np.nonzero(alive & (blocks[None, :] != asking.nearest.to_numpy()[:, None]))
+        return pd.DataFrame({"vec_id": asking.vec_id.to_numpy()[at], "key": asking.key.to_numpy()[at], "row_block": offered.row_block.to_numpy()[of]})
+
+    return _with_boxes(queries, of_rows, judge, "vec_id long, key long, row_block int")
+
+
+def _scored(asked: DataFrame, rows: DataFrame, k: int) -> DataFrame:
+    """``query_id, key, vec_id, score``: each asking query's k best rows of the one block it asks; a group holds a block of queries and one of rows."""
+
+    def best(asking: pd.DataFrame, offered: pd.DataFrame) -> pd.DataFrame:
+        if not len(asking) or not len(offered):
+            return pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "key", "vec_id", "score")})
+        ids, keys = asking.vec_id.to_numpy(), asking.key.to_numpy()
+        floors = asking.floor.to_numpy(dtype=np.float64)
+        found = block_top_k(ids, _matrix(asking.vector), offered.vec_id.to_numpy(), _matrix(offered.vector), k, floors=floors)
+        at = np.array([f[0] for f in found], dtype=np.int64)
+        return pd.DataFrame({"query_id": ids[at], "key": keys[at], "vec_id": [f[1] for f in found], "score": [f[2] for f in found]}).astype("int64")
+
+    group = ["query_block", "row_block", "width"]
+    offered = rows.select("vec_id", "vector", "row_block", "width").join(asked.select(*_anew(*group)).distinct(), ["row_block", "width"])
+    return asked.groupBy(group).cogroup(offered.groupBy(group)).applyInPandas(best, "query_id long, key long, vec_id long, score long")
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int, query_block: int = QUERY_BLOCK, row_block: int = ROW_BLOCK, folder: str | None = None) -> DataFrame:
     """Each query's ``k`` rows of the highest inner product: ``query_id, rank, vec_id, score``.
 
     ``vectors`` and ``queries`` have ``vec_id`` (long) and ``vector`` (whole
@@ -76,35 +231,23 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, query_block: int = QUE
     and one with none, nothing.  An id with two different vectors asks and
     answers with both.  No rows, no result.
 
-    Queries meet rows block by block; every block pair is a group of bounded
-    size, whatever the number of rows, and returns at most ``k`` rows a query.
+    A query meets its nearest block, then those whose box can hold one of its
+    best rows; only blocks that some query of a block asks are sent to it.  Every
+    group is of bounded size, whatever the number of rows, and returns at most
+    ``k`` rows a query.  Many ids of one vector tie: their blocks are passed over
+    as soon as ``k`` smaller ids are known.
     """
-    blocks = lambda df, size: max(1, math.ceil(df.count() / size))
-    n_queries, n_rows = blocks(queries, query_block), blocks(vectors, row_block)
-
-    def spread(df: DataFrame, own: str, of: int, other: str, others: int, asks: bool) -> DataFrame:
-        return df.select(
-            "vec_id", "vector", F.lit(asks).alias("asks"), F.size("vector").alias("width"),
-            F.pmod(F.xxhash64("vec_id", "vector"), F.lit(of)).alias(own),
-            F.explode(F.sequence(F.lit(0).cast("long"), F.lit(others - 1).cast("long"))).alias(other),
-        )
-
-    def best(pdf: pd.DataFrame) -> pd.DataFrame:
-        asking = pdf[pdf.asks.to_numpy()]
-        rows = pdf[~pdf.asks.to_numpy()]
-        if not len(asking) or not len(rows):
-            return pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "query_key", "vec_id", "score")})
-        matrix = lambda part: np.stack([np.asarray(v, dtype=np.int64) for v in part.vector])
-        ids = asking.vec_id.to_numpy()
-        wide = matrix(asking)
-        found = block_top_k(ids, wide, rows.vec_id.to_numpy(), matrix(rows), k)
-        keys = pd.util.hash_array(np.array([v.tobytes() for v in wide], dtype=object)).astype(np.int64)
-        at = [f[0] for f in found]
-        return pd.DataFrame({"query_id": ids[at], "query_key": keys[at], "vec_id": [f[1] for f in found], "score": [f[2] for f in found]})
-
-    pairs = spread(queries, "query_block", n_queries, "row_block", n_rows, True).unionByName(
-        spread(vectors, "row_block", n_rows, "query_block", n_queries, False)
-    )
-    each = pairs.groupBy("query_block", "row_block", "width").applyInPandas(best, "query_id long, query_key long, vec_id long, score long")
-    order = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id")
+    folder = folder or scratch(vectors.sparkSession)
+    rows, asking = placed(vectors, "row_block", row_block, folder), placed(queries, "query_block", query_block, folder)
+    of_rows = stored(boxes(rows), folder, "boxes")
+    nearest = stored(nearest_block(asking, of_rows), folder, "nearest")
+    first = stored(_scored(asking.join(nearest, ["vec_id", "key"]).withColumn("floor", F.lit(None).cast("double")), rows, k), folder, "first")
+
+    order = Window.partitionBy("query_id", "key").orderBy(F.desc("score"), "vec_id")
+    at_k = first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k)
+    floors = at_k.select(F.col("query_id").alias("vec_id"), "key", F.col("score").cast("double").alias("floor"), F.col("vec_id").alias("floor_id"))
+    known = asking.join(nearest.withColumnRenamed("row_block", "nearest"), ["vec_id", "key"]).join(floors, ["vec_id", "key"], "left").fillna(LAST_ID, "floor_id")
+    known = stored(known, folder, "floors")
+    asked = stored(known.join(reachable_blocks(known, of_rows), ["vec_id", "key"]), folder, "asked")
+    each = first.unionByName(_scored(asked, rows, k))
     return each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -44,6 +44,35 @@ def test_top_k_of_odd_vectors(spark):
     assert topk.top_k(empty, empty, 20).count() == 0
 
 
+def test_blocks_out_of_reach_are_not_compared(spark):
+    rng = np.random.default_rng(5)
+    middles = rng.normal(size=(8, 32)) * 3
+    rows = [(i, (middles[i % 8] + rng.normal(size=32) * 0.05).tolist(), 0) for i in range(800)]
+    rows += [(i, [4.0] * 32, 0) for i in range(800, 1200)]
+    values = topk.quantised(vectors(spark, rows))
+    folder = scratch(spark)
+    queries = values.where("vec_id % 20 = 0")
+    found = topk.top_k(values, queries, 5, query_block=10, row_block=25, folder=folder)
+    plain = [(i, np.floor(64 * np.float32(v).astype(float)).astype(np.int64)) for i, v, _ in rows]
+    assert sorted(map(tuple, found.collect())) == brute(plain, [p for p in plain if p[0] % 20 == 0], 5)
+    blocks = spark.read.parquet(f"{folder}/boxes").count()
+    asked = spark.read.parquet(f"{folder}/asked")
+    assert blocks >= 40
+    assert asked.select("query_block", "row_block").distinct().count() < 0.5 * blocks * asked.select("query_block").distinct().count()
+    # one vector under 400 ids: a query goes to few of the sixteen blocks that hold nothing else
+    assert (asked.where("vec_id >= 800").groupBy("key").count().agg(F.max("count")).first()[0] or 0) <= 4
+
+
+def test_top_k_of_repeated_ids_and_widths(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i % 90, rng.integers(-3, 4, size=1 + i % 5).tolist(), 0) for i in range(300)]
+    rows = [(i, [float(x) for x in v], n) for i, v, n in rows]
+    values = topk.quantised(vectors(spark, rows))
+    distinct = sorted({(i, tuple(int(64 * x) for x in v)) for i, v, _ in rows})
+    found = topk.top_k(values, values.where("vec_id % 20 = 0"), 4, query_block=3, row_block=11)
+    assert sorted(map(tuple, found.collect())) == brute(distinct, [p for p in distinct if p[0] % 20 == 0], 4)
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(4)
     a, b = rng.normal(size=(50, 30)), rng.normal(size=(60, 30))
