@@ -204,8 +204,8 @@ def reachable_blocks(queries: DataFrame, of_rows: DataFrame) -> DataFrame:
     return _with_boxes(queries, of_rows, judge, "vec_id long, key long, row_block int")
 
 
-def _scored(asked: DataFrame, rows: DataFrame, k: int) -> DataFrame:
-    """``query_id, key, vec_id, score``: each asking query's k best rows of the one block it asks; a group holds a block of queries and one of rows."""
+def _scored(asked: DataFrame, rows: DataFrame, k: int, query_block: int) -> DataFrame:
+    """``query_id, key, vec_id, score``: each asking query's k best rows of a block it asks; a group holds a block of rows and at most about ``query_block`` of the queries that ask it."""
 
     def best(asking: pd.DataFrame, offered: pd.DataFrame) -> pd.DataFrame:
         if not len(asking) or not len(offered):
@@ -216,9 +216,13 @@ def _scored(asked: DataFrame, rows: DataFrame, k: int) -> DataFrame:
         at = np.array([f[0] for f in found], dtype=np.int64)
         return pd.DataFrame({"query_id": ids[at], "key": keys[at], "vec_id": [f[1] for f in found], "score": [f[2] for f in found]}).astype("int64")
 
-    group = ["query_block", "row_block", "width"]
-    offered = rows.select("vec_id", "vector", "row_block", "width").join(asked.select(*_anew(*group)).distinct(), ["row_block", "width"])
-    return asked.groupBy(group).cogroup(offered.groupBy(group)).applyInPandas(best, "query_id long, key long, vec_id long, score long")
+    block = ["row_block", "width"]
+    shares = asked.groupBy(*_anew(*block)).agg(F.ceil(F.count(F.lit(1)) / query_block).alias("shares"))
+    dealt = asked.join(shares, block).withColumn("share", F.pmod(F.xxhash64("key"), F.col("shares")))
+    offered = rows.select("vec_id", "vector", *block).join(shares.select(*_anew(*block, "shares")), block)
+    offered = offered.withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)))
+    group = [*block, "share"]
+    return dealt.groupBy(group).cogroup(offered.groupBy(group)).applyInPandas(best, "query_id long, key long, vec_id long, score long")
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int, query_block: int = QUERY_BLOCK, row_block: int = ROW_BLOCK, folder: str | None = None) -> DataFrame:
@@ -232,16 +236,17 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, query_block: int = QUE
     answers with both.  No rows, no result.
 
     A query meets its nearest block, then those whose box can hold one of its
-    best rows; only blocks that some query of a block asks are sent to it.  Every
-    group is of bounded size, whatever the number of rows, and returns at most
-    ``k`` rows a query.  Many ids of one vector tie: their blocks are passed over
+    best rows.  The queries that ask a block are cut into shares of about
+    ``query_block``, and the block is sent once to each share.  Every group is of
+    bounded size, whatever the number of rows, and returns at most ``k`` rows a
+    query.  Many ids of one vector tie: their blocks are passed over
     as soon as ``k`` smaller ids are known.
     """
     folder = folder or scratch(vectors.sparkSession)
     rows, asking = placed(vectors, "row_block", row_block, folder), placed(queries, "query_block", query_block, folder)
     of_rows = stored(boxes(rows), folder, "boxes")
     nearest = stored(nearest_block(asking, of_rows), folder, "nearest")
-    first = stored(_scored(asking.join(nearest, ["vec_id", "key"]).withColumn("floor", F.lit(None).cast("double")), rows, k), folder, "first")
+    first = stored(_scored(asking.join(nearest, ["vec_id", "key"]).withColumn("floor", F.lit(None).cast("double")), rows, k, query_block), folder, "first")
 
     order = Window.partitionBy("query_id", "key").orderBy(F.desc("score"), "vec_id")
     at_k = first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k)
@@ -249,5 +254,5 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, query_block: int = QUE
     known = asking.join(nearest.withColumnRenamed("row_block", "nearest"), ["vec_id", "key"]).join(floors, ["vec_id", "key"], "left").fillna(LAST_ID, "floor_id")
     known = stored(known, folder, "floors")
     asked = stored(known.join(reachable_blocks(known, of_rows), ["vec_id", "key"]), folder, "asked")
-    each = first.unionByName(_scored(asked, rows, k))
+    each = first.unionByName(_scored(asked, rows, k, query_block))
     return each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
