@@ -6,13 +6,16 @@ smallest hash values, its bottom-k MinHash sketch, the document then holds one
 at least, however long it is: no contained item is ever missed.  How many
 values that takes, and so how far up the hash range they reach, depends on the
 item's size.  Items are therefore partitioned by size, and each partition's cut
-is the largest value in its sketches.  Documents contribute only the hashes
-below the cuts, equal values make candidates, and candidates are verified.
+is the largest value in its sketches.  To each partition, a document with enough
+shingles to contain an item of it gives its hashes up to that partition's cut;
+values that are equal within a partition make candidates, which are verified.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import math
+
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from sitegrade.llm.common import SHINGLE_WORDS, scratch, stored
 
@@ -66,6 +69,19 @@ def _ids() -> list[Column]:
     return [F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("row")]
 
 
+def _given(parts: list[Row], containment: float) -> Column:
+    """``part, hash`` for each partition and each hash of the document up to its cut; a document of too few shingles for the partition's smallest item gives none."""
+    none = F.array().cast("array<struct<part:struct<n_words:int,size_class:int>,hash:bigint>>")
+
+    def of_part(n_words: int, size_class: int, cut: int) -> Column:
+        own = F.struct(F.lit(n_words).alias("n_words"), F.lit(size_class).alias("size_class")).alias("part")
+        hashes, least = F.col(f"of_{n_words}"), math.ceil(containment * 2**size_class - 1e-9)
+        pairs = F.transform(F.filter(hashes, lambda h: h <= F.lit(cut)), lambda h: F.struct(own, h.alias("hash")))
+        return F.when(F.size(hashes) >= least, pairs).otherwise(none)
+
+    return F.concat(none, *[of_part(*part) for part in sorted(parts)])
+
+
 def contained_items(docs: DataFrame, items: DataFrame, folder: str | None = None, containment: float = CONTAINMENT) -> DataFrame:
     """``doc_id, row, item_id, n_item, n_shared, containment`` for each document and each item it contains.
 
@@ -82,21 +98,21 @@ def contained_items(docs: DataFrame, items: DataFrame, folder: str | None = None
     """
     folder = folder or scratch(docs.sparkSession)
     items = stored(item_sketches(items, containment).withColumn("item", F.xxhash64("item_id", "shingles")), folder, "items")
-    parts = items.groupBy("n_words", "size_class").agg(F.max(F.element_at("sketch", -1)).alias("cut"))
-    cuts = {n: cut for n, cut in parts.groupBy("n_words").agg(F.max("cut")).collect()}  # at most five rows
-    sketch = items.select("item", F.explode("sketch").alias("hash"))
+    part = F.struct("n_words", "size_class")
+    parts = items.groupBy("n_words", "size_class").agg(F.max(F.element_at("sketch", -1)).alias("cut")).collect()  # at most 31 classes of five words, one each of fewer
+    sizes = sorted({p.n_words for p in parts})
+    sketch = items.select("item", part.alias("part"), F.explode("sketch").alias("hash"))
     words = docs.select(*_ids(), word_array().alias("words"))
-    none = F.array().cast("array<bigint>")
-    hashes = F.concat(none, *[F.filter(shingle_hashes(F.col("words"), n), lambda h, cut=cut: h <= F.lit(cut)) for n, cut in sorted(cuts.items())])
-    values = words.select("doc", "row", F.explode(hashes).alias("hash"))
-    candidates = values.join(sketch, "hash").groupBy("doc", "row", "item").agg(F.count(F.lit(1)).alias("agree"))
+    hashed = words.select("doc", "row", *[shingle_hashes(F.col("words"), n).alias(f"of_{n}") for n in sizes])
+    values = hashed.select("doc", "row", F.explode(_given(parts, containment)).alias("value")).select("doc", "row", "value.part", "value.hash")
+    candidates = values.join(sketch, ["part", "hash"]).groupBy("doc", "row", "item").agg(F.count(F.lit(1)).alias("agree"))
     candidates = stored(candidates.drop("agree"), folder, "candidates")
 
     # Each candidate costs the shingles of its item and each document its own once, however many items it may hold.
     items_at = items.select("item", "item_id", F.size("shingles").alias("n_item"), F.explode("shingles").alias("shingle"))
     wanted = candidates.join(items_at.drop("item_id", "n_item"), "item")
     of_documents = docs.select(*_ids(), "text").join(candidates.select("doc", "row").distinct(), ["doc", "row"], "left_semi").dropDuplicates(["doc", "row"])
-    all_shingles = F.concat(F.array().cast("array<string>"), *[shingle_texts(F.col("words"), n) for n in sorted(cuts)])
+    all_shingles = F.concat(F.array().cast("array<string>"), *[shingle_texts(F.col("words"), n) for n in sizes])
     held = of_documents.select("doc", "row", word_array().alias("words")).select("doc", "row", F.explode(F.array_distinct(all_shingles)).alias("shingle"))
     held = held.join(items_at.select("shingle").distinct(), "shingle", "left_semi")
     shared = wanted.join(held, ["doc", "row", "shingle"]).groupBy("doc", "row", "item").agg(F.count(F.lit(1)).cast("int").alias("n_shared"))

@@ -304,6 +304,25 @@ def test_many_items_cost_a_long_document_little(spark):
     assert time.time() - started < 60
 
 
+def test_items_are_found_within_their_size_partition(spark):
+    many = [" ".join(f"w{n}x{i}" for i in range(n)) for n in (5, 8, 13, 21, 40, 80, 160)]
+    items = list(enumerate(many))
+    docs = [(i, f"before it {text} and behind") for i, text in items] + [(50, " ".join(many)), (51, " ".join(many[-1].split()[:100]))]
+    known = spark.createDataFrame(items, "item_id long, text string")
+    sketches = decontamination.item_sketches(known)
+    assert sketches.select("size_class").distinct().count() >= 5
+    hits = decontamination.contained_items(odd_table(spark, docs), known)
+    assert {(r.doc_id, r.item_id, r.n_item, r.n_shared) for r in hits.collect()} == brute_contained(docs, items)
+
+
+def test_items_of_few_words_are_found_wherever_their_hashes_lie(spark):
+    items = [(n, " ".join(f"t{n}u{i}" for i in range(1 + n % 9))) for n in range(180)]
+    docs = [(n, f"some words before {text} some words after") for n, text in items]
+    known = spark.createDataFrame(items, "item_id long, text string")
+    hits = decontamination.contained_items(odd_table(spark, docs), known)
+    assert {(r.doc_id, r.item_id) for r in hits.collect()} == {(n, n) for n in range(180)}
+
+
 def test_decontamination_is_native(spark, odd):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     plan = decontamination.contained_items(odd, items)._jdf.queryExecution().toString()
