@@ -4,7 +4,7 @@ import pytest
 
 from rows import AS_OF, inspections, values, violations
 from sitegrade.operators import clean, stage
-from sitegrade.operators.dedup import latest_per_key
+from sitegrade.operators.dedup import latest_of_mostly_single, latest_per_key
 
 
 def test_clean_restaurant_contract(spark):
@@ -166,3 +166,34 @@ def test_coordinates_filled_by_building(spark):
     assert values(stage.stage_rat(rats, AS_OF), "work_order_id", "latitude") == [(1, None), (2, None), (3, 40.5)]
     with pytest.raises(ValueError):
         stage.stage_rat(rats, AS_OF, "nearest")
+
+
+def test_latest_of_mostly_single_matches_brute_force(spark):
+    """Single keys, repeated ones, a null key, a key with a third of all rows, and nothing but repeated keys."""
+    single = [(k, None if k % 7 == 0 else k % 5, k % 3, k) for k in range(300)]
+    again = [(k, k % 4 or None, k % 2, 1000 + k) for k in range(0, 300, 20)]
+    crowd = [(7, k % 11, k % 13, 2000 + k) for k in range(200)] + [(None, 1, 1, 3000), (None, None, 2, 3001)]
+    for rows in (single + again + crowd, single, crowd, []):
+        df = spark.createDataFrame(rows, "k int, a int, b int, id int")
+        one, other = (f(df, ["k"], ["a", "b"], ["id"], "n") for f in (latest_of_mostly_single, latest_per_key))
+        assert one.dtypes == other.dtypes and values(one, "k", "a", "b", "id", "n") == values(other, "k", "a", "b", "id", "n")
+        assert latest_of_mostly_single(df, ["k"], ["a", "b"], ["id"]).columns == df.columns
+
+
+def test_rows_of_single_keys_are_not_shuffled(spark):
+    """Of 2,000 keys, two have more than one row; all others pass the dedupe where they are."""
+    rows = violations(spark, *[{"camis": str(k)} for k in range(2000)], {"camis": "5", "score": "1"}, {"camis": "6", "score": "2"})
+    execution = clean.clean_restaurant(rows, AS_OF)._jdf.queryExecution()
+    assert execution.toRdd().count() == 2000
+    plan = execution.executedPlan().executedPlan()
+    stack, shuffled = [plan], []
+    while stack:
+        node = stack.pop()
+        if node.nodeName() == "Exchange":
+            names = [node.output().apply(k).name() for k in range(node.output().size())]
+            if "violation_description" in names:
+                shuffled.append(node.metrics().get("shuffleRecordsWritten").get().value())
+        if node.nodeName().endswith("QueryStage"):
+            stack.append(node.plan())
+        stack += [node.children().apply(k) for k in range(node.children().size())]
+    assert len(shuffled) == 1 and 4 <= shuffled[0] < 20
