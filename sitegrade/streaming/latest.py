@@ -14,6 +14,7 @@ from sitegrade.operators.dedup import latest_per_key
 
 _STATE = "newest string"
 _NEWS = "row string"
+BUCKETS = 16_384
 
 
 def _rank(order: Sequence[str | None]) -> tuple:
@@ -21,7 +22,7 @@ def _rank(order: Sequence[str | None]) -> tuple:
     return tuple((value is not None, value or "") for value in order)
 
 
-def newest_rows(rows: DataFrame, keys: Sequence[str], order: Sequence[str], keep: timedelta) -> DataFrame:
+def newest_rows(rows: DataFrame, keys: Sequence[str], order: Sequence[str], keep: timedelta, buckets: int = BUCKETS) -> DataFrame:
     """A stream of ``rows`` that were the newest of their key when they came, by ``order`` (as text, largest first).
 
     State holds one order for each key; it is dropped when its key has been quiet
@@ -29,33 +30,45 @@ def newest_rows(rows: DataFrame, keys: Sequence[str], order: Sequence[str], keep
     watermark, so no row is ever dropped as late, however old its own dates are.  A key that comes back after that sends its newest row again, as
     the first of a new state; whoever reads the news takes the newest of them
     (:func:`newest_of`), so that an expired key loses nothing.
+
+    A call of Python for each key would cost milliseconds a key.  So keys share
+    ``buckets`` states by their hash, and one call goes through all rows of a
+    bucket.  A checkpoint is bound to its number of buckets; a bucket's state, a
+    few hundred bytes a key, is written whole when a row of it comes.
     """
     milliseconds = keep // timedelta(milliseconds=1)
 
     def advance(_: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        now = state.getCurrentWatermarkMs()
+        held = json.loads(state.get[0]) if state.exists else {}  # key -> time of its last row, order
+        held = {key: kept for key, kept in held.items() if kept[0] + milliseconds >= now}
+        best, news = {}, {}
+        if not state.hasTimedOut:
+            for part in parts:
+                for key, arrived, given, row in zip(part["key"], part["arrived_ms"], part["order"], part["row"]):
+                    if key not in best:
+                        best[key] = _rank(json.loads(held[key][1])) if key in held else None
+                    rank = _rank(json.loads(given))
+                    if best[key] is None or rank > best[key]:
+                        best[key], news[key] = rank, row
+                        held[key] = [max(int(arrived), now), given]
+                    else:
+                        held[key][0] = max(int(arrived), held[key][0])
+        if not held:
             state.remove()
             return
-        held = json.loads(state.get[0]) if state.exists else None
-        best, news, arrived = None if held is None else _rank(held), None, 0
-        for part in parts:
-            arrived = max(arrived, int(part["arrived_ms"].max()))
-            for given, row in zip(part["order"], part["row"]):
-                rank = _rank(json.loads(given))
-                if best is None or rank > best:
-                    best, held, news = rank, given, row
-        if news is not None:
-            state.update((held,))
-            yield pd.DataFrame({"row": [news]})
-        state.setTimeoutTimestamp(max(arrived, state.getCurrentWatermarkMs()) + milliseconds)
+        state.update((json.dumps(held),))
+        state.setTimeoutTimestamp(max(min(kept[0] for kept in held.values()) + milliseconds, now + 1))
+        if news:
+            yield pd.DataFrame({"row": list(news.values())})
 
     texts = F.to_json(F.array(*[F.col(c).cast("string") for c in order]), {"ignoreNullFields": "false"})
     packed = rows.withColumn("arrived", F.current_timestamp()).withWatermark("arrived", "0 seconds").select(
         "arrived", F.unix_millis("arrived").alias("arrived_ms"),
         F.to_json(F.array(*[F.col(c).cast("string") for c in keys]), {"ignoreNullFields": "false"}).alias("key"),
         texts.alias("order"), F.to_json(F.struct(*rows.columns)).alias("row"),
-    )
-    return packed.groupBy("key").applyInPandasWithState(advance, _NEWS, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    ).withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int"))
+    return packed.groupBy("bucket").applyInPandasWithState(advance, _NEWS, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def run(

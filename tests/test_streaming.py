@@ -128,3 +128,24 @@ def test_a_key_that_expired_loses_nothing(spark, tmp_path):
         result = newest(spark, tmp_path / "in", tmp_path, dt.timedelta(milliseconds=1))
         assert same(result, clean.latest_work_orders(feeds.conform(inspections(spark, *seen), RAT_FEED)))
     assert spark.read.parquet(str(tmp_path / "news")).count() == 3
+
+
+def test_keys_share_states(spark, tmp_path):
+    """Three buckets for 60 keys: no more states than buckets, and every key its own newest row and its own expiry."""
+    folder, news = tmp_path / "in", str(tmp_path / "news")
+
+    def batch(days):
+        changes = [{KEY: str(k), "job_id": f"{day}-{k}", "inspection_date": f"2024-05-{day:02d}T00:00:00.000"} for day, keys in days.items() for k in keys]
+        inspections(spark, *changes).coalesce(1).write.mode("append").parquet(str(folder))
+        rows = read_stream(spark, folder).select(KEY, "inspection_date", "job_id")
+        stream = latest.newest_rows(rows, [KEY], ["inspection_date", "job_id"], dt.timedelta(days=30), buckets=3)
+        query = stream.writeStream.format("parquet").option("path", news).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        states = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+        sent = spark.read.parquet(news).count()
+        found = latest.newest_of(spark, news, rows.schema, [KEY], ["inspection_date", "job_id"], [])
+        return max(states), sent, {r[KEY]: r.job_id for r in found.collect()}
+
+    first = {str(k): f"10-{k}" for k in range(60)}
+    assert batch({10: range(60), 9: range(30)}) == (3, 60, first)
+    assert batch({8: range(0, 60, 2), 11: range(0, 60, 3)}) == (3, 80, first | {str(k): f"11-{k}" for k in range(0, 60, 3)})
