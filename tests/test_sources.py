@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -173,3 +174,30 @@ def test_scratch_root_is_under_the_session_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     one, two = session.scratch_root(spark), session.scratch_root(spark)
     assert one != two and (not shared or one.startswith(shared))
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(k).getName() for k in range(files.size()) if files.apply(k).getName().startswith("shuffle_")}
+
+
+def test_a_write_gives_back_its_shuffle_files(spark, tmp_path):
+    store, before = sinks.TableStore(str(tmp_path)), shuffle_files(spark)
+    saved = store.save(spark.range(1000).repartition(3, "id"), "stage", "t")
+    assert saved.count() == 1000
+    for _ in range(50):  # files go in the background
+        if shuffle_files(spark) <= before:
+            break
+        time.sleep(0.2)
+    assert shuffle_files(spark) <= before
+
+
+def test_rows_that_lie_in_folders_are_written_without_a_shuffle(spark, tmp_path):
+    store, numbers = sinks.TableStore(str(tmp_path)), spark.sparkContext._jsc.sc().newShuffleId
+    rows = spark.range(1000).selectExpr("id", "cast(id % 3 as int) as part")
+    store.save_folders(rows, "stage", "t", "part", [0, 1, 2])
+    staged = store.read_folders(spark, "stage", "t", rows.schema)
+    last = numbers()
+    store.save_folders(staged.where("id % 2 = 0"), "mart", "t", "part", [0, 1, 2], lies_in_folders=True)
+    assert numbers() == last + 1
+    assert sorted(store.read_folders(spark, "mart", "t", rows.schema).collect()) == sorted(rows.where("id % 2 = 0").collect())
