@@ -31,6 +31,7 @@ from sitegrade.llm.common import scratch, stored
 LEVELS = (1, 4, 16)
 QUERY_BLOCK = 2048
 ROW_BLOCK = 4096
+QUERIES_AT_ONCE = 256  # whose bounds with all rows of a block are held at once, 8 MB
 PAGE = 4096  # boxes that meet a block of queries in one task, about 1 KB each
 LAST_ID = (1 << 63) - 1
 
@@ -51,30 +52,50 @@ def _statistics(vectors: np.ndarray, segments: int) -> np.ndarray:
     return np.stack([m * math.sqrt(p.shape[1]) for p, m in zip(parts, means)] + rests, axis=1)
 
 
-def block_top_k(query_ids, queries, row_ids, rows, k: int, levels=LEVELS, floors=None) -> list[tuple[int, int, int]]:
-    """(position of the query, row id, score) of each query's k best rows of this block, without those below its floor where it has one."""
+def block_top_k(query_ids, queries, row_ids, rows, k: int, levels=LEVELS, floors=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Position of the query, row id and score of each query's k best rows of this block, without those below its floor where it has one.
+
+    Queries are taken ``QUERIES_AT_ONCE`` at a time: a level bounds the rows that
+    are left to any of them in one product, and strikes out pairs one by one.
+    """
     exact = float(np.abs(queries).max(initial=0)) * float(np.abs(rows).max(initial=0)) * max(1, rows.shape[1]) < 2**52
     wide_q, wide_r = queries.astype(np.float64), rows.astype(np.float64)
     stats = [(_statistics(wide_q, s), _statistics(wide_r, s)) for s in levels]
-    dot = wide_r if exact else rows
+    longest = [np.sqrt((of_rows**2).sum(axis=1)).max(initial=0) for _, of_rows in stats]
+    queries, rows = (wide_q, wide_r) if exact else (queries, rows)
+    floors = np.full(len(query_ids), np.nan) if floors is None else floors
     found = []
-    for at, own in enumerate(query_ids):
-        query = wide_q[at] if exact else queries[at]
-        alive = np.flatnonzero(row_ids != own)
-        floor = None if floors is None or np.isnan(floors[at]) else floors[at]
-        for of_queries, of_rows in stats:
-            bounds = of_rows[alive] @ of_queries[at]
-            slack = 1e-9 * (1 + np.abs(bounds))
-            if floor is None and len(alive) > k:
-                seeds = alive[np.argpartition(-bounds, k - 1)[:k]]
-                floor = (dot[seeds] @ query).min()
-            if floor is not None:
-                alive = alive[bounds + slack >= float(floor)]
-        scores = dot[alive] @ query
+    for start in range(0, len(query_ids), QUERIES_AT_ONCE):
+        part = slice(start, start + QUERIES_AT_ONCE)
+        asking, floor, left = queries[part], floors[part].astype(np.float64), np.arange(len(rows))
+        alive = query_ids[part, None] != row_ids[None, :]
+        for level, (of_queries, of_rows) in enumerate(stats):
+            bounds = of_queries[part] @ of_rows[left].T
+            if level == 0:
+                unknown = np.flatnonzero(np.isnan(floor) & (alive.sum(axis=1) > k))
+                if len(unknown):
+                    seeds = np.argpartition(np.where(alive[unknown], -bounds[unknown], np.inf), k - 1, axis=1)[:, :k]
+                    floor[unknown] = [(rows[s] @ q).min() for s, q in zip(seeds, asking[unknown])]
+            slack = 1e-9 * (1 + np.sqrt((of_queries[part] ** 2).sum(axis=1)) * longest[level])
+            least = np.where(np.isnan(floor), -np.inf, floor - slack)[:, None]
+            alive &= bounds >= least
+            some = alive.any(axis=0)
+            if 2 * some.sum() < len(left):
+                left, alive = left[some], alive[:, some]
+        scores = asking @ rows[left].T
+        alive &= scores >= least
+        crowded = np.flatnonzero(alive.sum(axis=1) > 4 * k)
+        if len(crowded):
+            lowest = np.where(alive[crowded], scores[crowded], -np.inf if exact else np.iinfo(scores.dtype).min)
+            alive[crowded] &= lowest >= np.partition(lowest, -k, axis=1)[:, -k, None]
+        at, of = np.nonzero(alive)
+        scores, ids = scores[at, of], row_ids[left[of]]
         scores = np.rint(scores).astype(np.int64) if exact else scores
-        best = np.lexsort((row_ids[alive], -scores))[:k]
-        found += [(at, int(i), int(s)) for i, s in zip(row_ids[alive][best], scores[best])]
-    return found
+        best = np.lexsort((ids, -scores, at))
+        at, ids, scores = at[best], ids[best], scores[best]
+        kept = np.arange(len(at)) - np.searchsorted(at, at) < k
+        found.append((start + at[kept], ids[kept], scores[kept]))
+    return tuple(np.concatenate([np.empty(0, dtype=np.int64), *column]) for column in zip(*found)) if found else (np.empty(0, dtype=np.int64),) * 3
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -96,12 +117,13 @@ def _levels(width: int) -> Iterator[tuple[slice, slice]]:
 @F.pandas_udf(T.LongType())
 def _side(vectors: pd.Series) -> pd.Series:
     """A bit for each segment of the finest level: whether its mean lies above the vector's own."""
-    out = np.zeros(len(vectors), dtype=np.int64)
-    for i, v in enumerate(vectors):
-        if len(v):
-            parts = np.array_split(np.asarray(v, dtype=np.float64), min(LEVELS[-1], len(v)))
-            mean = np.mean(v)
-            out[i] = sum(1 << n for n, p in enumerate(parts) if p.mean() > mean)
+    out, widths = np.zeros(len(vectors), dtype=np.int64), vectors.map(len).to_numpy()
+    for width in np.unique(widths[widths > 0]):
+        at = np.flatnonzero(widths == width)
+        matrix = _matrix(vectors.iloc[at]).astype(np.float64)
+        mean = matrix.mean(axis=1)
+        for n, part in enumerate(np.array_split(matrix, min(LEVELS[-1], width), axis=1)):
+            out[at] |= (part.mean(axis=1) > mean).astype(np.int64) << n
     return pd.Series(out)
 
 
@@ -212,9 +234,8 @@ def _scored(asked: DataFrame, rows: DataFrame, k: int, query_block: int) -> Data
             return pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "key", "vec_id", "score")})
         ids, keys = asking.vec_id.to_numpy(), asking.key.to_numpy()
         floors = asking.floor.to_numpy(dtype=np.float64)
-        found = block_top_k(ids, _matrix(asking.vector), offered.vec_id.to_numpy(), _matrix(offered.vector), k, floors=floors)
-        at = np.array([f[0] for f in found], dtype=np.int64)
-        return pd.DataFrame({"query_id": ids[at], "key": keys[at], "vec_id": [f[1] for f in found], "score": [f[2] for f in found]}).astype("int64")
+        at, found, scores = block_top_k(ids, _matrix(asking.vector), offered.vec_id.to_numpy(), _matrix(offered.vector), k, floors=floors)
+        return pd.DataFrame({"query_id": ids[at], "key": keys[at], "vec_id": found, "score": scores}).astype("int64")
 
     block = ["row_block", "width"]
     shares = asked.groupBy(*_anew(*block)).agg(F.ceil(F.count(F.lit(1)) / query_block).alias("shares"))

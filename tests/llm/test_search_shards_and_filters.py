@@ -81,6 +81,23 @@ def test_bounds_hold():
         assert (bounds >= a @ b.T - 1e-9).all()
 
 
+def test_a_block_returns_no_row_below_a_floor():
+    """Queries of several turns; a third of them have a floor that a few rows of the block reach, a third one that none does."""
+    rng = np.random.default_rng(8)
+    rows, ids = np.floor(64 * rng.normal(size=(900, 20))).astype(np.int64), rng.permutation(900)
+    rows[:60] = rows[0]
+    asking = rng.integers(0, 900, size=topk.QUERIES_AT_ONCE + 50)
+    scores = rows[asking] @ rows.T
+    floors = np.sort(scores, axis=1)[:, -4].astype(np.float64)
+    floors[::3], floors[1::3] = np.nan, scores[1::3].max(axis=1) + 1
+    found = topk.block_top_k(ids[asking], rows[asking], ids, rows, 9, floors=floors)
+    expected = []
+    for n, (own, floor) in enumerate(zip(asking, floors)):
+        ranked = sorted((-int(s), int(i)) for i, s in zip(ids, scores[n]) if i != ids[own] and not s < floor)
+        expected += [(n, i, -s) for s, i in ranked[:9]]
+    assert list(zip(*(column.tolist() for column in found))) == expected
+
+
 def test_shards(spark, sf_dir):
     rows = op6_sharding(spark, sf_dir).collect()
     sizes = Counter(r.shard for r in rows)
