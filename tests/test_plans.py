@@ -264,3 +264,32 @@ def test_aggregates_hash_instead_of_sorting(stored):
     for df in (visits, restaurant_risk.restaurant_stats_6m(visits, "2001-07-01"),
                building_risk.building_stats_6m(tables.mart_rat, "2001-07-01")):
         assert "SortAggregate" not in plan(df) and "ObjectHashAggregate" not in plan(df)
+
+
+def test_the_dedupe_reads_stored_raw_rows(spark, sf_dir):
+    """The feed's own joins run once, not in each of the three passes over the raw rows."""
+    cleaned = Layers(spark, sf_dir).clean_restaurant
+    assert all("/raw/restaurant_inspection/" in file for file in cleaned.inputFiles())
+    assert "l_orderkey" not in plan(cleaned)
+
+
+def test_visit_means_join_visits_and_not_violations(spark, tmp_path):
+    """Rows without scores and the stored means give the visits that scored rows give; two variants, a null score, a visit without any."""
+    store = TableStore(str(tmp_path))
+    cleaned = store.save(clean.clean_restaurant(violations(
+        spark, {"score": "9"}, {"violation_code": "04B", "score": "20", "dba": "Diner"}, {"violation_code": "04C", "score": None},
+        {"inspection_date": "2024-05-01T00:00:00.000", "score": None}, {"violation_code": None, "score": "40"}, {"camis": None},
+    ), AS_OF), "clean", "rows")
+    averages = store.save(stage.visit_avg_score(cleaned), "stage", "means")
+    scored = stage.graded(stage.real_visits(stage.attach_visit_score(cleaned, averages)), AS_OF)
+    late = pipeline.stored_visits(stage.real_visits(cleaned), store, "_late", averages)
+    early = pipeline.stored_visits(scored, store, "_early")
+    assert late.dtypes == early.dtypes and values(late, *late.columns) == values(early, *early.columns)
+    assert values(late, "dba", "avg_computed_score", "computed_grade") == [("Cafe", 23.0, "B"), ("Cafe", None, "N"), ("Diner", 23.0, "B")]
+
+
+def test_half_year_summary_gathers_recent_visits_only(spark, sf_dir):
+    layers = Layers(spark, sf_dir)
+    assert layers.restaurant_stats.count() > 0
+    seen = layers.store.read(spark, "mart", "site_visits_6m").where(~dates.within_trailing_months(F.col("inspection_date"), "2001-07-01", 6))
+    assert seen.count() == 0
