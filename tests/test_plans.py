@@ -293,3 +293,42 @@ def test_half_year_summary_gathers_recent_visits_only(spark, sf_dir):
     assert layers.restaurant_stats.count() > 0
     seen = layers.store.read(spark, "mart", "site_visits_6m").where(~dates.within_trailing_months(F.col("inspection_date"), "2001-07-01", 6))
     assert seen.count() == 0
+
+
+def test_half_year_summary_dedupes_recent_rows_only(spark, sf_dir):
+    layers = Layers(spark, sf_dir)
+    found = layers.restaurant_stats
+    landed = layers.store.read(spark, "raw", "recent_restaurant_inspection")
+    assert 0 < landed.count() < 0.2 * layers.raw_restaurant.count()
+    assert landed.where(~dates.within_trailing_months(F.col("inspection_date").cast("timestamp_ntz"), "2001-07-01", 6)).isEmpty()
+    staged = stage.stage_restaurant(layers.clean_restaurant, "2001-07-01")
+    whole = restaurant_risk.restaurant_stats_6m(restaurant_risk.visit_stats(stage.mart_restaurant(staged)), "2001-07-01")
+    assert whole.columns == found.columns and whole.count() == found.count()
+    exact = [c for c in whole.columns if dict(whole.dtypes)[c] != "double"]
+    assert whole.select(exact).exceptAll(found.select(exact)).isEmpty()
+
+
+def test_recent_rows_before_the_dedupe_leave_its_survivors(spark):
+    """Repeats, a date on the cut, one not known, and an old and a late visit whose keys are one text."""
+    raw = violations(
+        spark, {}, {"score": "30"}, {"record_date": "2024-06-09T00:00:00.000", "dba": "Late"}, {"inspection_date": "2024-01-01T00:00:00.000"},
+        {"inspection_date": "2023-12-31T00:00:00.000", "camis": "2"}, {"inspection_date": None}, {"inspection_date": "2024-01-02T00:00:00.000", "camis": "3"},
+        {"camis": "4", "violation_code": "04A1", "inspection_date": "2023-02-03", "dba": "Old"}, {"camis": "4", "inspection_date": "12023-02-03", "dba": "Far"},
+    )
+    shown = lambda df: values(df.withColumn("inspection_date", F.col("inspection_date").cast("string")), "camis", "dba", "score", "inspection_date")
+    before = clean.clean_restaurant(clean.recent_restaurant_rows(raw, AS_OF), AS_OF)
+    after = clean.clean_restaurant(raw, AS_OF).where(dates.within_trailing_months(F.col("inspection_date"), AS_OF, 6))
+    assert shown(before) == shown(after) and [row[:2] for row in shown(before)] == [(1, "Late"), (3, "Cafe"), (4, "Far")]
+
+
+def test_customers_join_orders_and_not_lines(spark, layers):
+    with splitting(spark):
+        lines = plan(layers.raw_restaurant).splitlines()
+    depth = lambda line: re.search(r"\w", line.replace("*(", " (")).start()
+    at = next(i for i, line in enumerate(lines) if "Join [o_custkey" in line)
+    below = []
+    for line in lines[at + 1 :]:
+        if depth(line) <= depth(lines[at]):
+            break
+        below.append(line)
+    assert any("c_name" in line for line in below) and not any("l_orderkey" in line for line in below)
