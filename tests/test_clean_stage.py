@@ -1,10 +1,13 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from rows import AS_OF, inspections, values, violations
 from sitegrade.operators import clean, stage
 from sitegrade.operators.dedup import latest_of_mostly_single, latest_per_key
+from sitegrade.plans import pipeline
+from sitegrade.sources.sinks import TableStore
 
 
 def test_clean_restaurant_contract(spark):
@@ -197,3 +200,27 @@ def test_rows_of_single_keys_are_not_shuffled(spark):
             stack.append(node.plan())
         stack += [node.children().apply(k) for k in range(node.children().size())]
     assert len(shuffled) == 1 and 4 <= shuffled[0] < 20
+
+
+@pytest.mark.parametrize("columns", [["boro", "street", "bin"], ["score"], ["inspection_date", "latitude", "camis", "violation_code"]])
+def test_few_columns_of_the_latest_rows(spark, tmp_path, columns):
+    """Repeats that each order column decides, an undated row of a dated one's key, two visits whose keys are one text, nulls."""
+    raw = violations(
+        spark, {}, {"record_date": "2024-06-09T00:00:00.000", "boro": "Late", "score": "3"}, {"record_date": "2024-06-09T00:00:00.000", "street": "Tie", "score": "2"},
+        {"camis": "2", "street": "Tie A"}, {"camis": "2", "street": "Tie B"}, {"camis": "2", "inspection_date": None, "boro": "Undated"},
+        {"camis": "3", "bin": "1", "violation_code": ""}, {"camis": "31", "bin": "", "violation_code": None, "boro": "Same text"}, {"camis": "5", "bin": None, "score": None},
+        {"camis": None, "inspection_date": None}, *[{"camis": str(k), "street": None} for k in range(100, 150)],
+        {"camis": "6", "violation_code": "04A1", "inspection_date": "2023-02-03", "boro": "Old"}, {"camis": "6", "inspection_date": "12023-02-03", "boro": "Far"},
+    )
+    shown = lambda df: [tuple(map(str, r)) for r in df.select(*[F.col(c).cast("string") for c in columns]).collect()]
+    raw = raw.withColumn("bin", F.nullif("bin", F.lit("")))
+    found = pipeline.latest_restaurant_columns(raw, TableStore(str(tmp_path)), columns)
+    whole = clean.latest_restaurant_rows(clean.type_restaurant_rows(raw)).select(*columns)
+    assert found.dtypes == whole.dtypes and sorted(shown(found)) == sorted(shown(whole)) and found.count() == 55
+
+
+def test_strictness_reaches_few_columns(spark, tmp_path):
+    raw = violations(spark, {"bin": "abc"}, {"camis": "2"})
+    assert values(pipeline.latest_restaurant_columns(raw, TableStore(str(tmp_path)), ["bin"], strict=False), "bin") == [100, None]
+    with pytest.raises(Exception, match="not a value of type int"):
+        pipeline.latest_restaurant_columns(raw, TableStore(str(tmp_path)), ["bin"]).collect()

@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from parity.spark_queries import Layers, registry
+from parity.spark_queries import Layers, build, registry
 from rows import AS_OF, inspections, values, violations
 from sitegrade.functions import dates
 from sitegrade.operators import building_risk, clean, restaurant_risk, stage
@@ -332,3 +332,13 @@ def test_customers_join_orders_and_not_lines(spark, layers):
             break
         below.append(line)
     assert any("c_name" in line for line in below) and not any("l_orderkey" in line for line in below)
+
+
+@pytest.mark.parametrize("query", ["place_rollup", "place_cube"])
+def test_subtotals_store_whole_rows_of_repeated_keys_only(spark, sf_dir, query):
+    layers = Layers(spark, sf_dir)
+    assert build(query, layers).count() > 0
+    kept = layers.store.read(spark, "raw", "repeated_restaurant_inspection")
+    assert 0 < kept.count() < 0.2 * layers.raw_restaurant.count() and kept.columns == layers.raw_restaurant.columns
+    assert layers.store.read(spark, "raw", "restaurant_columns").columns == ["boro", "zipcode", "street", "cuisine_description", "bin", "key_hash"]
+    assert not layers.store.exists(spark, "raw", "restaurant_inspection")
